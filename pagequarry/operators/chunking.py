@@ -44,7 +44,7 @@ def pack_sections(
         return F.struct(open_text.alias("open"), done.alias("done")).cast(_STATE)
 
     def closed(current: Column) -> Column:
-        chunk = truncate_tokens(collapse_blank_lines(current["open"]), max_tokens, pattern)
+        chunk = let(collapse_blank_lines(current["open"]), lambda text: truncate_tokens(text, max_tokens, pattern))
         return F.concat(current["done"], F.array(chunk))
 
     def step(current: Column, part: Column) -> Column:

@@ -1,4 +1,4 @@
-"""Hooks for models, called on Arrow batches and created once per task."""
+"""Hooks for models, called on Arrow batches and created once per task, when its first batch arrives."""
 
 from __future__ import annotations
 
@@ -23,8 +23,9 @@ def call_model(prompt: Column, model: TextModel) -> Column:
 
     @F.arrow_udf("string")
     def reply(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
-        run = model()
+        run = None
         for batch in batches:
+            run = run or model()
             prompts = batch.to_pylist()
             asked = [i for i, text in enumerate(prompts) if text is not None]
             replies: list[str | None] = [None] * len(prompts)
@@ -40,8 +41,9 @@ def embed(text: Column, embedder: Embedder) -> Column:
 
     @F.arrow_udf("array<float>")
     def vectors(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
-        run = embedder()
+        run = None
         for batch in batches:
+            run = run or embedder()
             matrix = np.asarray(run(batch), dtype=np.float32)
             offsets = np.arange(len(batch) + 1, dtype=np.int32) * matrix.shape[1]
             yield pa.ListArray.from_arrays(pa.array(offsets), pa.array(matrix.reshape(-1)))

@@ -65,7 +65,7 @@ class BestK:
 
 @dataclass(frozen=True)
 class Dense:
-    """Vectors as ``array<float>``; an empty question set is never scored."""
+    """Vectors as ``array<float>``, all of one length."""
 
     metric: str = "l2"
     values_per_block: int = 4_000_000
@@ -80,6 +80,8 @@ class Dense:
         return column.flatten().to_numpy(zero_copy_only=False).astype(np.float64).reshape(len(column), width)
 
     def blocks(self, questions, column: pa.Array) -> Iterator[tuple[int, np.ndarray]]:
+        if not len(questions):
+            return
         vectors = self.load(column)
         step = max(1, self.values_per_block // max(len(questions), vectors.shape[1], 1))
         for start in range(0, len(vectors), step):
@@ -103,6 +105,8 @@ class Sparse:
         return _TermTable(len(column), coded.dictionary, starts, row[order], weight[order])
 
     def blocks(self, questions, column: pa.Array) -> Iterator[tuple[int, np.ndarray]]:
+        if not len(questions):
+            return
         row, term, weight = _postings(column)
         code = pc.index_in(term, value_set=questions.terms)
         known = pc.is_valid(code).to_numpy(zero_copy_only=False)

@@ -14,7 +14,7 @@ from pagequarry.operators.models import (
     stub_text_model,
 )
 from pagequarry.plans import sql
-from pagequarry.plans.registry import query, table
+from pagequarry.plans.registry import query, table, texts
 from pagequarry.plans.search_queries import _QUESTION_RANKING, asked, document_index, keyword_hits, _keyword_hits
 from pagequarry.plans.training import new_answers, new_questions
 from pagequarry.session import new_folder
@@ -61,7 +61,7 @@ def chat_messages(spark, folder):
     """Messages as JSON; documents of up to 500 characters count as no passage."""
     passage = F.when(F.col("n_chars") > 500, F.col("text"))
     messages = prompts.chat_messages(F.col("source"), passage)
-    return table(spark, folder, "documents").select("doc_id", F.to_json(messages).alias("messages"))
+    return texts(spark, folder, "documents").select("doc_id", F.to_json(messages).alias("messages"))
 
 
 @query("""
@@ -71,7 +71,7 @@ def chat_messages(spark, folder):
     FROM documents""")
 def final_answers(spark, folder):
     """Answer read from the response JSON, linked and made ready for HTML."""
-    documents = table(spark, folder, "documents")
+    documents = texts(spark, folder, "documents")
     response = call_model(F.col("text"), stub_chat_model())
     url = F.when(F.col("lang") == "en", F.col("source"))
     return documents.withColumn("response", response).select(
@@ -84,7 +84,7 @@ def final_answers(spark, folder):
     FROM documents""")
 def generated_texts(spark, folder):
     """Output by task: completion models repeat their prompt."""
-    documents = table(spark, folder, "documents").withColumn("output", call_model(F.col("text"), stub_text_model()))
+    documents = texts(spark, folder, "documents").withColumn("output", call_model(F.col("text"), stub_text_model()))
     task = (
         F.when(F.col("lang").isin("en", "fr"), "text-generation")
         .when(F.col("lang") == "de", "summarization")
@@ -96,7 +96,7 @@ def generated_texts(spark, folder):
 @query(r"SELECT doc_id, string_split_regex(text, '\. |\n\n| the ')[1] AS text FROM documents")
 def stop_sequences(spark, folder):
     cut = prompts.cut_at_stop(F.col("text"), [". ", "\n\n", " the "])
-    return table(spark, folder, "documents").select("doc_id", cut.alias("text"))
+    return texts(spark, folder, "documents").select("doc_id", cut.alias("text"))
 
 
 @query("""
@@ -162,13 +162,13 @@ _QUESTIONS = f"""
 
 @query(f"SELECT doc_id, {_PROMPT} AS prompt FROM documents")
 def question_prompts(spark, folder):
-    return table(spark, folder, "documents").select("doc_id", training.question_prompt(F.col("text")).alias("prompt"))
+    return texts(spark, folder, "documents").select("doc_id", training.question_prompt(F.col("text")).alias("prompt"))
 
 
 @query(f"WITH {_QUESTIONS} SELECT doc_id, len(asked)::BIGINT AS questions, asked[1] AS first_question FROM replies")
 def parsed_questions(spark, folder):
     """Model replies as arrays; null where the reply is no JSON array."""
-    documents = table(spark, folder, "documents")
+    documents = texts(spark, folder, "documents")
     reply = call_model(training.question_prompt(F.col("text")), stub_question_model())
     parsed = documents.select("doc_id", reply.alias("reply")).withColumn("asked", training.parse_questions(F.col("reply")))
     count = F.when(F.col("asked").isNotNull(), F.size("asked").cast("bigint"))
@@ -177,7 +177,7 @@ def parsed_questions(spark, folder):
 
 @query(f"WITH {_QUESTIONS} SELECT doc_id, question_no, question FROM questions")
 def question_rows(spark, folder):
-    return new_questions(table(spark, folder, "documents"), "doc_id", "text", stub_question_model())
+    return new_questions(texts(spark, folder, "documents"), "doc_id", "text", stub_question_model())
 
 
 _PAIR = sql.filled(training.PAIR_TEMPLATE, document="text", question="question")
@@ -197,7 +197,7 @@ def questions_with_documents(spark, folder):
 
 @query(f"WITH {_QUESTIONS} SELECT doc_id, question_no, {_PAIR} AS prompt FROM questions")
 def answer_prompts(spark, folder):
-    documents = table(spark, folder, "documents")
+    documents = texts(spark, folder, "documents")
     asked_rows = new_questions(documents, "doc_id", "text", stub_question_model())
     joined = training.with_documents(asked_rows, documents.select("doc_id", "text"), "doc_id", spread_by="question_no")
     return joined.select("doc_id", "question_no", training.answer_prompt(F.col("text"), F.col("question")).alias("prompt"))
@@ -225,7 +225,7 @@ def question_page(spark, folder):
     SELECT doc_id, question_no, question, 'Reply ' || md5({_PAIR}) AS answer FROM questions""")
 def training_pairs(spark, folder):
     """Documents to questions to answers; answering is done in two runs."""
-    documents = table(spark, folder, "documents").select("doc_id", "text", "lang")
+    documents = texts(spark, folder, "documents").select("doc_id", "text", "lang")
     questions, answers = new_folder(spark, "questions"), new_folder(spark, "answers")
     for run, part in ((1, documents.filter(F.col("lang") == "en")), (2, documents)):
         done = tables.VersionedTable(spark, questions)

@@ -6,6 +6,8 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
+from pagequarry.session import spread
+
 Query = Callable[[SparkSession, str], DataFrame]
 
 QUERIES: dict[str, Query] = {}
@@ -27,5 +29,13 @@ def query(oracle: str | None = None) -> Callable[[Query], Query]:
     return register
 
 
+KEYS = {"documents": "doc_id", "pages": "page_id", "conversations": "conv_id"}
+
+
+def texts(spark: SparkSession, folder: str, name: str) -> DataFrame:
+    """A table whose texts are worked on: spread over the cores when it has few partitions."""
+    return spread(table(spark, folder, name), KEYS[name])
+
+
 def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{folder.rstrip('/')}/{name}.parquet")

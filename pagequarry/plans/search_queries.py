@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from pagequarry.functions.text import STOP_WORDS
+from pagequarry.functions.text import STOP_WORDS, explode_rows
 from pagequarry.operators import ranking, terms
 from pagequarry.operators.answers import apply_threshold, attach_columns, embed_questions
 from pagequarry.operators.index import (
@@ -18,7 +18,7 @@ from pagequarry.operators.index import (
 )
 from pagequarry.operators.models import embed, hashed_words
 from pagequarry.plans import sql
-from pagequarry.plans.registry import query, table
+from pagequarry.plans.registry import query, table, texts
 from pagequarry.session import new_folder
 from pagequarry.streaming.index_sync import IndexSync
 
@@ -34,7 +34,7 @@ def self_questions(index):
 
 
 def document_index(spark, folder):
-    documents = table(spark, folder, "documents")
+    documents = texts(spark, folder, "documents")
     return documents.select(F.col("doc_id").alias("id"), embed(F.col("text"), hashed_words(64)).alias("vector"))
 
 
@@ -48,7 +48,7 @@ def asked(spark, folder):
 @query(f"WITH {sql.hashed_vectors('v', 'documents', 'doc_id', 'text')} SELECT id, dim, round(w, 6) AS weight FROM v")
 def text_vectors(spark, folder):
     """Default embedder, listed by dimension."""
-    listed = document_index(spark, folder).select("id", F.posexplode("vector").alias("dim", "w"))
+    listed = explode_rows(document_index(spark, folder), F.col("vector"), "dim", "w")
     return listed.filter(F.col("w") != 0).select(
         "id", F.col("dim").cast("bigint").alias("dim"), F.round(F.col("w").cast("double"), 6).alias("weight")
     )
@@ -58,17 +58,17 @@ def text_vectors(spark, folder):
     SELECT id, term, count(*) AS tf FROM (SELECT doc_id AS id, unnest({sql.words('text')}) AS term FROM documents)
     GROUP BY 1, 2""")
 def bags_of_words(spark, folder):
-    bags = terms.bag_of_words(table(spark, folder, "documents"), "doc_id", "text")
-    return bags.select("id", F.explode("terms").alias("t")).select("id", "t.term", "t.tf")
+    bags = terms.bag_of_words(texts(spark, folder, "documents"), "doc_id", "text")
+    return explode_rows(bags, F.col("terms"), "_", "t").select("id", "t.term", "t.tf")
 
 
 @query(f"""
     WITH {sql.frequencies('c', 'documents', 'doc_id', 'text')}, {sql.tfidf('t', 'documents', 'doc_id', 'text', 'c')}
     SELECT id, term, round(w, 6) AS weight FROM t""")
 def term_weights(spark, folder):
-    bags = terms.bag_of_words(table(spark, folder, "documents"), "doc_id", "text")
+    bags = terms.bag_of_words(texts(spark, folder, "documents"), "doc_id", "text")
     vectors = terms.tfidf_vectors(bags, terms.Vocabulary.of(bags))
-    return vectors.select("id", F.explode("vector").alias("t")).select(
+    return explode_rows(vectors, F.col("vector"), "_", "t").select(
         "id", "t.term", F.round("t.weight", 6).alias("weight")
     )
 
@@ -77,7 +77,7 @@ def term_weights(spark, folder):
     SELECT page_id AS id, url, md5(coalesce(html, '')) AS content_hash, 'hashed-64' AS model_id, 64::BIGINT AS dimension
     FROM pages""")
 def built_index(spark, folder):
-    pages = refuse_duplicates(table(spark, folder, "pages"), "page_id")
+    pages = refuse_duplicates(texts(spark, folder, "pages"), "page_id")
     rows = index_rows(pages, "page_id", "html", hashed_words(64), "hashed-64", ("url",))
     return rows.select("id", "url", "content_hash", "model_id", F.size("vector").cast("bigint").alias("dimension"))
 
@@ -127,7 +127,7 @@ CHANGE_SCHEMA = "id bigint, text string, version bigint, deleted boolean"
 def sync_documents(spark, folder):
     """An index kept in step through a stream of the change sets."""
     sync = IndexSync(spark, new_folder(spark, "synced-index"), hashed_words(64), T.LongType(), shards=8)
-    documents = table(spark, folder, "documents")
+    documents = texts(spark, folder, "documents")
     sync.build(documents.filter(F.col("lang") != "es"), "doc_id", "text")
     incoming, checkpoint = new_folder(spark, "changes"), new_folder(spark, "stream")
     for changes in change_sets(spark, folder):
@@ -213,7 +213,7 @@ def filtered_search(spark, folder):
 
 @query(f"SELECT doc_id, source FROM documents WHERE list_contains({sql.words('text')}, 'that')")
 def keyword_filter(spark, folder):
-    documents = table(spark, folder, "documents")
+    documents = texts(spark, folder, "documents")
     return documents.filter(terms.has_keyword(F.col("text"), "That")).select("doc_id", "source")
 
 
@@ -233,7 +233,7 @@ def _keyword_hits(k: int, tail: str) -> str:
 
 
 def keyword_hits(spark, folder, k):
-    index = terms.KeywordIndex.build(table(spark, folder, "documents"), "doc_id", "text", STOP_WORDS)
+    index = terms.KeywordIndex.build(texts(spark, folder, "documents"), "doc_id", "text", STOP_WORDS)
     return index.search(table(spark, folder, "benchmark"), "item_id", "text", k)
 
 

@@ -9,7 +9,7 @@ from pagequarry.operators.index import IndexStore
 from pagequarry.operators.keys import dense_ids
 from pagequarry.operators.memos import HEADERS, raw_memos
 from pagequarry.operators.models import hashed_words
-from pagequarry.plans.registry import query, table
+from pagequarry.plans.registry import query, table, texts
 from pagequarry.plans.sql import article
 from pagequarry.session import new_folder
 from pagequarry.sources import readers, tables
@@ -68,7 +68,7 @@ def sitemap_urls(spark, folder):
 @query(f"""
     SELECT url, text FROM (SELECT url, trim({article()}) AS text FROM pages) WHERE text IS NOT NULL""")
 def raw_pages(spark, folder):
-    return readers.raw_pages(table(spark, folder, "pages"))
+    return readers.raw_pages(texts(spark, folder, "pages"))
 
 
 @query("SELECT doc_id, lang, n_chars * 2 AS n_chars FROM documents WHERE lang <> 'en'")
@@ -107,7 +107,7 @@ def guarded_write(spark, folder):
     FROM (SELECT doc_id, unnest(range(len(list_filter(string_split(text, chr(10)), lambda p: trim(p) <> '')))) AS chunk_no
           FROM documents)""")
 def chunk_ids(spark, folder):
-    chunks = explode_chunks(table(spark, folder, "documents"), paragraphs(F.col("text")), "doc_id")
+    chunks = explode_chunks(texts(spark, folder, "documents"), paragraphs(F.col("text")), "doc_id")
     return chunks.select(chunk_id(F.col("doc_id"), F.col("chunk_no")).alias("id"), "doc_id", "chunk_no")
 
 
@@ -120,7 +120,7 @@ def dense_row_ids(spark, folder):
 def stored_index(spark, folder):
     """Index snapshot written and loaded again; the second build finds it and does nothing."""
     store = IndexStore(spark, new_folder(spark, "index"))
-    documents = table(spark, folder, "documents")
+    documents = texts(spark, folder, "documents")
     for _ in range(2):
         store.build(documents, "doc_id", "text", hashed_words(64), "hashed-64", ("source",))
     index = store.load("hashed-64")

@@ -10,14 +10,14 @@ from pagequarry.operators.prompts import answer_html
 from pagequarry.operators.terms import summarise_long_texts
 from pagequarry.plans import sql
 from pagequarry.plans.pages import pages_to_chunks
-from pagequarry.plans.registry import query, table
+from pagequarry.plans.registry import query, table, texts
 from pagequarry.plans.source_queries import memo_export
 from pagequarry.sources.readers import read_memo_export
 
 
 @query(f"SELECT doc_id, {sql.replace_all('text', text.SYMBOL_PATTERN, ' ')} AS text FROM documents")
 def symbols_cleaned(spark, folder):
-    return table(spark, folder, "documents").select("doc_id", text.clean_symbols(F.col("text")).alias("text"))
+    return texts(spark, folder, "documents").select("doc_id", text.clean_symbols(F.col("text")).alias("text"))
 
 
 @query(f"""
@@ -70,12 +70,12 @@ def rows_of_value(spark, folder):
     SELECT page_id, {sql.plain(sql.visible(f"regexp_extract(html, {sql.quoted(html.TITLE_PATTERN)}, 1)"))} AS title
     FROM pages""")
 def page_titles(spark, folder):
-    return table(spark, folder, "pages").select("page_id", html.page_title(F.col("html")).alias("title"))
+    return texts(spark, folder, "pages").select("page_id", html.page_title(F.col("html")).alias("title"))
 
 
 @query(f"SELECT page_id, {sql.collapse(sql.plain(sql.visible('html')))} AS text FROM pages")
 def page_text(spark, folder):
-    pages = table(spark, folder, "pages")
+    pages = texts(spark, folder, "pages")
     return pages.select("page_id", text.collapse_blank_lines(html.html_to_text(F.col("html"))).alias("text"))
 
 
@@ -110,7 +110,7 @@ def _summaries(source: str, id: str, limit: int, keep: int) -> str:
 
 @query(_summaries("documents", "doc_id", 10_000, 3))
 def long_texts_summarised(spark, folder):
-    documents = table(spark, folder, "documents").select("doc_id", "text")
+    documents = texts(spark, folder, "documents").select("doc_id", "text")
     return summarise_long_texts(documents, "doc_id", "text").select("doc_id", "text_short")
 
 
@@ -119,14 +119,14 @@ def long_texts_summarised(spark, folder):
            lambda w: w NOT IN ({', '.join(sql.quoted(w) for w in text.STOP_WORDS)})), ' ') AS text
     FROM documents""")
 def stop_words_removed(spark, folder):
-    return table(spark, folder, "documents").select("doc_id", text.remove_stop_words(F.col("text")).alias("text"))
+    return texts(spark, folder, "documents").select("doc_id", text.remove_stop_words(F.col("text")).alias("text"))
 
 
 @query(f"""
     SELECT doc_id, trim({sql.replace_all(f"lower({sql.replace_all('text', text.ILLEGAL_PATTERN, '')})", r'[[:space:]]+', ' ')}) AS text
     FROM documents""")
 def characters_normalised(spark, folder):
-    return table(spark, folder, "documents").select("doc_id", text.normalise_case(F.col("text")).alias("text"))
+    return texts(spark, folder, "documents").select("doc_id", text.normalise_case(F.col("text")).alias("text"))
 
 
 @query("SELECT conv_id, turn, replace(text, chr(10), '<br/>') AS text FROM conversations")
@@ -152,12 +152,12 @@ PATTERNS = {"blank_separated": r"\S+", "words_and_marks": r"\w+|[^\w\s]", "lette
 @query("SELECT doc_id, " + ", ".join(f"len({sql.tokens('text', p)})::BIGINT AS {n}" for n, p in PATTERNS.items()) + " FROM documents")
 def token_counts(spark, folder):
     counts = [text.token_count(F.col("text"), p).cast("bigint").alias(n) for n, p in PATTERNS.items()]
-    return table(spark, folder, "documents").select("doc_id", *counts)
+    return texts(spark, folder, "documents").select("doc_id", *counts)
 
 
 @query(f"SELECT doc_id, {sql.truncated('text', 100)} AS text FROM documents")
 def token_truncation(spark, folder):
-    return table(spark, folder, "documents").select("doc_id", text.truncate_tokens(F.col("text"), 100).alias("text"))
+    return texts(spark, folder, "documents").select("doc_id", text.truncate_tokens(F.col("text"), 100).alias("text"))
 
 
 # Page articles are short and have no sections, so the queries pack paragraphs.
@@ -195,13 +195,13 @@ _PAGE_CHUNKS = f"""
 @query(_PAGE_CHUNKS)
 def page_chunks(spark, folder):
     """Pages to chunks: main content, title, section packing, row ids."""
-    return pages_to_chunks(table(spark, folder, "pages"), **CHUNK_LIMITS)
+    return pages_to_chunks(texts(spark, folder, "pages"), **CHUNK_LIMITS)
 
 
 @query(_PAGE_CHUNKS)
 def page_chunks_tokenizer(spark, folder):
     """The same chunks by a Python tokenizer in a pandas UDF."""
-    return pages_to_chunks(table(spark, folder, "pages"), tokenizer=chunking.RegexTokenizer, **CHUNK_LIMITS)
+    return pages_to_chunks(texts(spark, folder, "pages"), tokenizer=chunking.RegexTokenizer, **CHUNK_LIMITS)
 
 
 @query("""
@@ -223,7 +223,7 @@ def _fixed(size: int) -> str:
     FROM ({_fixed(200)})""")
 def fixed_length_chunks(spark, folder):
     chunks = chunking.fixed_length_chunks(F.col("text"), 200)
-    return chunking.explode_chunks(table(spark, folder, "documents"), chunks, "doc_id")
+    return chunking.explode_chunks(texts(spark, folder, "documents"), chunks, "doc_id")
 
 
 _CHUNKS_2000 = f"""(
@@ -236,7 +236,7 @@ _CHUNKS_2000 = f"""(
 def chunk_summaries(spark, folder):
     """Big chunks, each summarised once."""
     chunks = chunking.explode_chunks(
-        table(spark, folder, "documents"), chunking.fixed_length_chunks(F.col("text"), 2000), "doc_id", content="text"
+        texts(spark, folder, "documents"), chunking.fixed_length_chunks(F.col("text"), 2000), "doc_id", content="text"
     )
     keyed = chunks.select(chunking.chunk_id(F.col("doc_id"), F.col("chunk_no")).alias("id"), "text")
     return summarise_long_texts(keyed, "id", "text", limit=5_000, keep=5).select("id", "text_short")

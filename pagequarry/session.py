@@ -48,6 +48,16 @@ def shared_root(spark: SparkSession) -> str:
     return _local_dir
 
 
+def spread(scan: DataFrame, key: str) -> DataFrame:
+    """A table scan divided over all cores before costly work on each row.
+
+    Only inputs with fewer partitions than cores are repartitioned; a large
+    table is read as it is.
+    """
+    cores = scan.sparkSession.sparkContext.defaultParallelism
+    return scan if scan.rdd.getNumPartitions() >= cores else scan.repartition(cores, key)
+
+
 def new_folder(spark: SparkSession, label: str) -> str:
     """A fresh path below the shared folder; nothing is created yet."""
     return f"{shared_root(spark)}/{label}-{uuid.uuid4().hex}"
