@@ -65,9 +65,10 @@ def answer_questions(
     The best document above ``threshold`` is added to the prompt and linked in
     the answer; without one the model is asked on its own.
     """
-    hits = nearest(embed_questions(questions, "question", embedder), index, 1, scoring, where=where)
+    asked = materialise(embed_questions(questions, "question", embedder), "questions")
+    hits = nearest(asked, index, 1, scoring, where=where)
     found = attach_columns(best_hit(hits, threshold), documents, id, content, url)
-    asked = questions.join(found.select("qid", content, url), "qid", "left")
-    prompts = asked.select("qid", url, F.to_json(chat_messages(F.col("question"), F.col(content))).alias("prompt"))
+    joined = questions.join(found.select("qid", content, url), "qid", "left")
+    prompts = joined.select("qid", url, F.to_json(chat_messages(F.col("question"), F.col(content))).alias("prompt"))
     replied = prompts.withColumn("response", call_model(F.col("prompt"), model))
     return replied.select("qid", final_answer(response_text(F.col("response")), F.col(url)).alias("answer"), "prompt")

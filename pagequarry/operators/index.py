@@ -111,9 +111,9 @@ def upsert_vectors(
         newest = refuse_duplicates(checked, key)
     else:
         newest = newest_per_key(checked, key, order).drop(order)
-    kept = index.join(rows.select(key), key, "left_anti")
+    kept = index.join(rows.select(key).distinct(), key, "left_anti")
     return kept.unionByName(newest)
 
 
 def delete_keys(index: DataFrame, keys: DataFrame, key: str) -> DataFrame:
-    return index.join(keys.select(key), key, "left_anti")
+    return index.join(keys.select(key).distinct(), key, "left_anti")

@@ -44,7 +44,7 @@ def with_documents(questions: DataFrame, documents: DataFrame, id: str, spread_b
 
 def pending(work: DataFrame, done: DataFrame, *keys: str) -> DataFrame:
     """Rows of ``work`` without a result yet, whatever run was interrupted."""
-    return work.join(done.select(*keys), list(keys), "left_anti")
+    return work.join(done.select(*keys).distinct(), list(keys), "left_anti")
 
 
 def in_batches(df: DataFrame, key: str, batches: int) -> DataFrame:

@@ -80,9 +80,14 @@ class VersionedTable:
         return True
 
 
+# A limit gathers its rows in one task, so above this number a distributed
+# count is used, which Parquet answers from its footers.
+MAX_LIMITED_ROWS = 1_000_000
+
+
 def has_at_least(df: DataFrame, rows: int) -> bool:
-    """Whether ``df`` has ``rows`` rows, reading no more than that."""
-    return df.limit(rows).count() >= rows
+    """Whether ``df`` has ``rows`` rows, reading no more than that while they are few."""
+    return (df.limit(rows).count() if rows <= MAX_LIMITED_ROWS else df.count()) >= rows
 
 
 def row_check(df: DataFrame, name: str, rows: int = 1) -> DataFrame:

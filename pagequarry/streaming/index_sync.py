@@ -60,7 +60,9 @@ class IndexSync:
 
     def _write_snapshot(self, rows: DataFrame, generation: int) -> None:
         columns = self.schema.names
-        self._with_shard(rows).select(*columns).write.partitionBy("shard").parquet(self._snapshot_path(generation))
+        # Rebalancing keeps a shard in few files and divides one that is too large for a task.
+        placed = self._with_shard(rows).select(*columns).hint("rebalance", F.col("shard"))
+        placed.write.partitionBy("shard").parquet(self._snapshot_path(generation))
 
     def build(self, source: DataFrame, id: str, text: str, version: int = 0) -> None:
         """First generation: embed the whole source."""
@@ -110,7 +112,9 @@ class IndexSync:
         try:
             # At most ``self.shards`` numbers; they prune the folders to read.
             touched = [row.shard for row in newest.select("shard").distinct().collect()]
-            known = self.entries(touched, but_batch=batch_id).select(
+            # The semi join lets a small batch travel to the index instead of shuffling it.
+            current = self.entries(touched, but_batch=batch_id).join(newest.select("id"), "id", "left_semi")
+            known = current.select(
                 "id",
                 F.col("vector").alias("old_vector"),
                 F.col("content_hash").alias("old_hash"),
