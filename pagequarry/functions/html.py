@@ -1,4 +1,4 @@
-"""HTML to text as native expressions, plus a parser for nested containers."""
+"""HTML to text as native expressions, plus a parser for malformed pages and nested containers."""
 
 from __future__ import annotations
 
@@ -59,6 +59,45 @@ def sections(html: Column, tag: str = "h2") -> Column:
     return F.transform(F.split(drop_invisible(html), rf"(?=<{tag}[ >])"), drop_tags)
 
 
+class _Text(HTMLParser):
+    """Collects text outside scripts and style sheets."""
+
+    def __init__(self):
+        super().__init__(convert_charrefs=True)
+        self.hidden = 0
+        self.found: list[str] = []
+
+    def handle_starttag(self, tag, attrs):
+        self.hidden += tag in ("script", "style")
+
+    def handle_endtag(self, tag):
+        if tag in ("script", "style") and self.hidden:
+            self.hidden -= 1
+
+    def handle_data(self, data):
+        if not self.hidden:
+            self.found.append(data)
+
+
+def _text(html: str | None) -> str | None:
+    if html is None:
+        return None
+    parser = _Text()
+    parser.feed(html)
+    parser.close()
+    return "".join(parser.found)
+
+
+def parsed_text(html: Column) -> Column:
+    """:func:`html_to_text` by a parser, for pages with broken tags or rare entities."""
+
+    @F.pandas_udf("string")
+    def parse(pages: pd.Series) -> pd.Series:
+        return pages.map(_text)
+
+    return parse(html)
+
+
 class _Container(HTMLParser):
     """Finds the span of the first element with the wanted attribute."""
 

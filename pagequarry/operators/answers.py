@@ -2,11 +2,23 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+import numpy as np
+import pandas as pd
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from pagequarry.operators.models import Embedder, TextModel, call_model, embed
-from pagequarry.operators.prompts import chat_messages, final_answer, response_text
+from pagequarry.functions.text import line_breaks_to_html, strip
+from pagequarry.operators.prompts import (
+    ANSWER_TEMPLATE,
+    answer_html,
+    chat_messages,
+    cut_at_stop,
+    fill_template,
+    final_answer,
+    generated_text,
+    response_text,
+)
 from pagequarry.operators.ranking import Dense, Scoring, nearest
 from pagequarry.operators.skew import hot_keys, salted_join
 from pagequarry.session import materialise
@@ -44,7 +56,18 @@ def best_hit(hits: DataFrame, threshold: float = RELEVANCE_THRESHOLD) -> DataFra
 
 
 def embed_questions(questions: DataFrame, text: str, embedder: Embedder) -> DataFrame:
-    return questions.select("qid", embed(F.col(text), embedder).alias("vector"))
+    return questions.select("qid", embed(F.coalesce(text, F.lit("")), embedder).alias("vector"))
+
+
+def as_questions(spark: SparkSession, asked: str | list[str] | pd.DataFrame | np.ndarray) -> DataFrame:
+    """``qid, question`` from one string, a list, or the first column of a frame or array."""
+    if isinstance(asked, str):
+        asked = [asked]
+    elif isinstance(asked, pd.DataFrame):
+        asked = asked.iloc[:, 0].tolist()
+    elif isinstance(asked, np.ndarray):
+        asked = asked[:, 0].tolist()
+    return spark.createDataFrame(list(enumerate(asked)), "qid bigint, question string")
 
 
 def answer_questions(
@@ -72,3 +95,40 @@ def answer_questions(
     prompts = joined.select("qid", url, F.to_json(chat_messages(F.col("question"), F.col(content))).alias("prompt"))
     replied = prompts.withColumn("response", call_model(F.col("prompt"), model))
     return replied.select("qid", final_answer(response_text(F.col("response")), F.col(url)).alias("answer"), "prompt")
+
+
+def answer_from_contexts(
+    questions: DataFrame,
+    index: DataFrame,
+    documents: DataFrame,
+    embedder: Embedder,
+    model: TextModel,
+    k: int = 2,
+    scoring: Scoring = Dense("cosine"),
+    template: str = ANSWER_TEMPLATE,
+    separator: str = "\n\n",
+    stops: tuple[str, ...] = (),
+    where: Column | None = None,
+    id: str = "id",
+    content: str = "content",
+) -> DataFrame:
+    """``qid, answer, sources, fragment``: answers of a completion model over the best ``k`` documents.
+
+    The model repeats its prompt, which is cut off; ``fragment`` shows
+    question, answer and sources as HTML. Questions without any hit are asked
+    over an empty context.
+    """
+    asked = materialise(embed_questions(questions, "question", embedder), "questions")
+    found = attach_columns(nearest(asked, index, k, scoring, where=where), documents, id, content)
+    ordered = F.array_sort(F.collect_list(F.struct("rank", F.col(content).alias("text"))))
+    grouped = found.groupBy("qid").agg(F.transform(ordered, lambda hit: hit["text"]).alias("sources"))
+    joined = questions.join(grouped, "qid", "left").withColumn(
+        "sources", F.coalesce("sources", F.array().cast("array<string>"))
+    )
+    context = F.array_join("sources", separator)
+    prompted = joined.withColumn("prompt", fill_template(template, context=context, question=F.col("question")))
+    replied = prompted.withColumn("output", call_model(F.col("prompt"), model))
+    text = generated_text(F.lit("text-generation"), F.col("output"), F.col("prompt"))
+    answered = replied.withColumn("answer", strip(cut_at_stop(text, stops) if stops else text))
+    fragment = answer_html(F.col("question"), line_breaks_to_html(F.col("answer")), F.col("sources"))
+    return answered.select("qid", "answer", "sources", fragment.alias("fragment"))

@@ -27,7 +27,7 @@ def index_rows(
     """``id, vector, content_hash, model_id`` and the metadata columns of each source row."""
     return source.select(
         F.col(key).alias("id"),
-        embed(F.col(text), embedder).alias("vector"),
+        embed(F.coalesce(text, F.lit("")), embedder).alias("vector"),
         *metadata,
         content_hash(F.col(text)).alias("content_hash"),
         F.lit(model_id).alias("model_id"),

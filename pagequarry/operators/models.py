@@ -12,6 +12,8 @@ import pyarrow.compute as pc
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
+from pagequarry.functions.text import long_texts
+
 # A text model factory builds a function from a batch of prompts to replies;
 # an embedder factory builds one from a batch of texts to a matrix.
 TextModel = Callable[[], Callable[[list[str]], list[str]]]
@@ -36,19 +38,28 @@ def call_model(prompt: Column, model: TextModel) -> Column:
     return reply(prompt)
 
 
+def summarise_with(text: Column, model: TextModel, limit: int = 10_000) -> Column:
+    """Summaries by ``model`` of texts over ``limit`` characters; other texts are not sent and stay."""
+    return F.coalesce(call_model(F.when(long_texts(text, limit), text), model), text)
+
+
 def embed(text: Column, embedder: Embedder) -> Column:
-    """``array<float>`` vectors of ``text``; null text counts as empty."""
+    """``array<float>`` vectors of ``text``; a null text is not sent and stays null."""
 
     @F.arrow_udf("array<float>")
     def vectors(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
         run = None
         for batch in batches:
+            given = batch.is_valid().to_numpy(zero_copy_only=False)
+            if not given.any():
+                yield pa.nulls(len(batch), pa.list_(pa.float32()))
+                continue
             run = run or embedder()
-            matrix = np.asarray(run(batch), dtype=np.float32)
-            offsets = np.arange(len(batch) + 1, dtype=np.int32) * matrix.shape[1]
-            yield pa.ListArray.from_arrays(pa.array(offsets), pa.array(matrix.reshape(-1)))
+            matrix = np.asarray(run(batch.drop_null()), dtype=np.float32)
+            offsets = np.concatenate([[0], np.cumsum(given)]).astype(np.int32) * matrix.shape[1]
+            yield pa.ListArray.from_arrays(pa.array(offsets), pa.array(matrix.reshape(-1)), mask=pa.array(~given))
 
-    return vectors(F.coalesce(text, F.lit("")))
+    return vectors(text)
 
 
 def hashed_words(dimension: int = 64, cache_size: int = 1_000_000) -> Embedder:

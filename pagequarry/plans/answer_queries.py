@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from pagequarry.operators import prompts, training
-from pagequarry.operators.answers import answer_questions, attach_columns
+from pagequarry.operators.answers import answer_from_contexts, answer_questions, attach_columns
 from pagequarry.operators.models import (
     call_model,
     hashed_words,
@@ -124,9 +124,6 @@ def model_replies(spark, folder):
     return turns.select("conv_id", "turn", call_model(F.col("text"), stub_text_model()).alias("reply"))
 
 
-_PAGED = "CASE WHEN rank = 1 AND score > 0.66 THEN"
-
-
 @query(f"""{_QUESTION_RANKING},
     found AS (SELECT qid, text AS content, 'doc/' || doc_id AS url FROM hits JOIN documents ON doc_id = id
               WHERE rank = 1 AND score > 0.66),
@@ -146,6 +143,26 @@ def answered_questions(spark, folder):
     )
 
 
+@query(f"""{_QUESTION_RANKING},
+    top AS (SELECT qid, rank, text AS content FROM hits JOIN documents ON doc_id = id WHERE rank <= 2),
+    grouped AS (
+        SELECT qid, string_agg(content, chr(10) || chr(10) ORDER BY rank) AS context,
+               string_agg('<li>' || content || '</li>', '' ORDER BY rank) AS items FROM top GROUP BY qid),
+    answered AS (
+        SELECT item_id AS qid, text, items,
+               'Reply ' || md5({sql.filled(prompts.ANSWER_TEMPLATE, context='context', question='text')}) AS answer
+        FROM grouped JOIN benchmark ON item_id = qid)
+    SELECT qid, answer, '<section><h4>' || text || '</h4><p>' || answer || '</p><ul>' || items || '</ul></section>' AS fragment
+    FROM answered""")
+def html_answers(spark, folder):
+    """Two best documents as context, completion model, answer with its sources as HTML."""
+    documents = table(spark, folder, "documents").select(F.col("doc_id").alias("id"), F.col("text").alias("content"))
+    answered = answer_from_contexts(
+        asked(spark, folder), document_index(spark, folder), documents, hashed_words(64), stub_text_model()
+    )
+    return answered.select("qid", "answer", "fragment")
+
+
 # ---- training pairs ----
 
 _PROMPT = sql.filled(training.QUESTION_TEMPLATE, document="text")

@@ -6,12 +6,15 @@ from pyspark.sql import functions as F
 
 from pagequarry.functions import html, text
 from pagequarry.operators import chunking, memos
+from pagequarry.operators.models import hashed_words, stub_text_model, summarise_with
 from pagequarry.operators.prompts import answer_html
 from pagequarry.operators.terms import summarise_long_texts
 from pagequarry.plans import sql
+from pagequarry.plans.memos import memos_to_index
 from pagequarry.plans.pages import pages_to_chunks
 from pagequarry.plans.registry import query, table, texts
 from pagequarry.plans.source_queries import memo_export
+from pagequarry.session import new_folder
 from pagequarry.sources.readers import read_memo_export
 
 
@@ -36,6 +39,18 @@ def memo_silver(spark, folder):
     )
 
 
+@query(f"""
+    SELECT 'memo/' || doc_id AS id, md5({sql.replace_all('text', text.SYMBOL_PATTERN, ' ')}) AS content_hash,
+           64::BIGINT AS dimension FROM documents""")
+def memo_index(spark, folder):
+    """Export to stored vector index."""
+    store = memos_to_index(
+        spark, memo_export(spark, folder), new_folder(spark, "memos"), hashed_words(64), "hashed-64"
+    )
+    index = store.load("hashed-64")
+    return index.select("id", "content_hash", F.size("vector").cast("bigint").alias("dimension"))
+
+
 @query("""
     SELECT item_id, strftime(try_strptime(stamp, '%b %d, %Y %I:%M %p'), '%Y-%m-%d %H:%M') AS parsed FROM (
         SELECT event_id AS item_id, CASE event_type WHEN 'error' THEN props
@@ -79,6 +94,13 @@ def page_text(spark, folder):
     return pages.select("page_id", text.collapse_blank_lines(html.html_to_text(F.col("html"))).alias("text"))
 
 
+@query(f"SELECT page_id, {sql.collapse(sql.plain(sql.visible('html')))} AS text FROM pages")
+def page_text_parsed(spark, folder):
+    """The same by a parser in a pandas UDF."""
+    pages = texts(spark, folder, "pages")
+    return pages.select("page_id", text.collapse_blank_lines(html.parsed_text(F.col("html"))).alias("text"))
+
+
 @query(f"SELECT conv_id, turn, {sql.collapse('text')} AS text FROM conversations")
 def blank_lines_collapsed(spark, folder):
     turns = table(spark, folder, "conversations")
@@ -114,6 +136,15 @@ def long_texts_summarised(spark, folder):
     return summarise_long_texts(documents, "doc_id", "text").select("doc_id", "text_short")
 
 
+@query("""
+    SELECT doc_id, CASE WHEN length(text) > 10000 THEN text || 'Reply ' || md5(text) ELSE text END AS text_short
+    FROM documents""")
+def long_texts_by_model(spark, folder):
+    """Only texts over 10,000 characters are sent to the model."""
+    short = summarise_with(F.col("text"), stub_text_model())
+    return texts(spark, folder, "documents").select("doc_id", short.alias("text_short"))
+
+
 @query(f"""
     SELECT doc_id, array_to_string(list_filter({sql.words('text')},
            lambda w: w NOT IN ({', '.join(sql.quoted(w) for w in text.STOP_WORDS)})), ' ') AS text

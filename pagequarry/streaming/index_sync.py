@@ -68,7 +68,7 @@ class IndexSync:
         """First generation: embed the whole source."""
         rows = source.select(
             F.col(id).alias("id"),
-            embed(F.col(text), self.embedder).alias("vector"),
+            embed(F.coalesce(text, F.lit("")), self.embedder).alias("vector"),
             content_hash(F.col(text)).alias("content_hash"),
             F.lit(version).cast("bigint").alias("version"),
             F.lit(False).alias("deleted"),
@@ -124,11 +124,12 @@ class IndexSync:
                 F.col("old_version").isNull() | (F.col("version") > F.col("old_version"))
             )
             same = F.coalesce(F.col("new_hash") == F.col("old_hash"), F.lit(False)) & F.col("old_vector").isNotNull()
-            embedded = ahead.filter(~F.col("deleted") & ~same).withColumn("vector", embed(F.col("text"), self.embedder))
-            carried = ahead.filter(~F.col("deleted") & same).withColumn("vector", F.col("old_vector"))
-            removed = ahead.filter(F.col("deleted")).withColumn("vector", F.lit(None).cast("array<float>"))
-            columns = ["id", "vector", F.col("new_hash").alias("content_hash"), "version", "deleted", "shard"]
-            rows = embedded.select(*columns).unionByName(carried.select(*columns)).unionByName(removed.select(*columns))
+            # Null texts are not sent to the model.
+            to_embed = F.when(~F.col("deleted") & ~same, F.coalesce("text", F.lit("")))
+            vector = F.coalesce(embed(to_embed, self.embedder), F.when(~F.col("deleted"), F.col("old_vector")))
+            rows = ahead.select(
+                "id", vector.alias("vector"), F.col("new_hash").alias("content_hash"), "version", "deleted", "shard"
+            )
             rows.write.mode("overwrite").parquet(f"{self._log_path(self.generation())}/batch_id={batch_id}")
         finally:
             newest.unpersist()

@@ -163,3 +163,29 @@ def test_score_ties_go_to_the_lower_id(spark):
     q = frame(spark, [[1, 0]], "qid")
     index = frame(spark, [[0, 1]] + [[1, 0]] * 50, "id").repartition(4)
     assert hits_of(ranking.nearest(q, index, 3)) == [(0, 1, 1), (0, 2, 2), (0, 3, 3)]
+
+
+def test_questions_in_every_form(spark):
+    import pandas as pd
+
+    from pagequarry.operators.answers import as_questions
+
+    forms = ["a", ["a"], pd.DataFrame({"q": ["a"], "x": ["b"]}), np.array([["a", "b"]])]
+    for form in forms:
+        assert [tuple(r) for r in as_questions(spark, form).collect()] == [(0, "a")]
+
+
+def test_answers_from_contexts(spark):
+    from pagequarry.operators.answers import answer_from_contexts
+
+    docs = spark.createDataFrame([(1, "red fox"), (2, "red dog"), (3, "blue sky")], "id bigint, content string")
+    index = docs.select("id", embed(F.col("content"), hashed_words(256)).alias("vector"))
+    questions = spark.createDataFrame([(1, "red fox")], "qid bigint, question string")
+
+    def model():
+        return lambda prompts: [p + f" {p.count('red')} reds\nEND more" for p in prompts]
+
+    row = answer_from_contexts(questions, index, docs, hashed_words(256), model, stops=("END",)).first()
+    assert row.sources == ["red fox", "red dog"] and row.answer == "3 reds"
+    nothing = answer_from_contexts(questions, index.filter("id < 0"), docs, hashed_words(256), model).first()
+    assert nothing.sources == [] and nothing.answer.startswith("1 reds")

@@ -139,3 +139,9 @@ def test_summaries(spark):
 def test_bag_of_words_leaves_out_stop_words(spark):
     df = spark.createDataFrame([(1, "The the cat")], "id int, t string")
     assert bag_of_words(df, "id", "t", ("the",)).first().terms == [("cat", 1)]
+
+
+def test_parser_agrees_with_expressions(spark):
+    pages = ["<p>a</p><script>var t='</p>';</script>b &amp;lt; &middot;<style>x</style><!-- c -->d", None, "<b>open <i>tags"]
+    assert column(spark, pages, html.parsed_text) == column(spark, pages, html.html_to_text)
+    assert column(spark, ["caf&eacute; <p a='>'>x"], html.parsed_text) == ["café x"]
