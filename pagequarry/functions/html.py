@@ -9,6 +9,8 @@ import pandas as pd
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
+from pagequarry.functions.text import let
+
 INVISIBLE_PATTERN = r"(?is)<!--.*?-->|<script[^>]*>.*?</script>|<style[^>]*>.*?</style>"
 TAG_PATTERN = r"</?[a-zA-Z!][^>]*>"
 TITLE_PATTERN = r"<h1>(.*?)</h1>"
@@ -50,8 +52,9 @@ def page_title(html: Column) -> Column:
 
 def element_content(html: Column, tag: str = "article") -> Column:
     """Inside of the first ``tag`` element, null when absent; for tags that do not nest."""
-    pattern = rf"(?s)<{tag}(?:\s[^>]*)?>(.*?)</{tag}>"
-    return F.when(F.regexp_like(html, F.lit(pattern)), F.regexp_extract(html, pattern, 1))
+    end = f"</{tag}>"
+    after_start = F.get(F.split(html, rf"<{tag}(?:\s[^>]*)?>", 2), F.lit(1))
+    return let(after_start, lambda rest: F.when(F.contains(rest, F.lit(end)), F.substring_index(rest, end, 1)))
 
 
 def sections(html: Column, tag: str = "h2") -> Column:
