@@ -2,12 +2,15 @@
 
 from __future__ import annotations
 
-import math
-from collections.abc import Sequence
+from collections.abc import Callable, Iterator, Sequence
 from dataclasses import dataclass
 
+import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from pagequarry.functions.text import explode_rows, let, long_texts, sentences, term_counts, words
 from pagequarry.operators.ranking import MAX_BROADCAST_QUESTIONS, Sparse, nearest
@@ -15,6 +18,13 @@ from pagequarry.operators.skew import hot_keys, salted_join
 from pagequarry.session import materialise
 
 
+# Terms of a counted vocabulary that may travel to the postings, some tens of megabytes.
+MAX_BROADCAST_TERMS = 500_000
+VECTOR_TYPE = T.ArrayType(
+    T.StructType([T.StructField("term", T.StringType()), T.StructField("weight", T.DoubleType())])
+)
+
+
 def has_keyword(text: Column, keyword: str) -> Column:
     return F.array_contains(words(text), keyword.lower())
 
@@ -34,6 +44,7 @@ class Vocabulary:
     frequencies: DataFrame
     hot: DataFrame
     documents: int
+    terms: int
 
     @staticmethod
     def of(bags: DataFrame) -> Vocabulary:
@@ -41,8 +52,19 @@ class Vocabulary:
         terms = explode_rows(bags.select("terms"), F.col("terms.term"), "_", "term").select("term")
         counted = terms.groupBy("term").agg(F.count("*").alias("df"))
         frequencies = materialise(counted, "vocabulary")
-        postings = frequencies.agg(F.sum("df")).first()[0] or 0
-        return Vocabulary(frequencies, hot_keys(frequencies, "term", "df", postings), bags.count())
+        size = frequencies.agg(F.count("*").alias("terms"), F.sum("df").alias("postings")).first()
+        hot = hot_keys(frequencies, "term", "df", size.postings or 0)
+        return Vocabulary(frequencies, hot, bags.count(), size.terms)
+
+    @property
+    def is_small(self) -> bool:
+        return self.terms <= MAX_BROADCAST_TERMS
+
+    def attach(self, postings: DataFrame, spread_by: str, how: str) -> DataFrame:
+        """``postings`` with ``df`` of their ``term``: by broadcast while the vocabulary is small, else salted."""
+        if self.is_small:
+            return postings.join(F.broadcast(self.frequencies), "term", how)
+        return salted_join(postings, self.frequencies, "term", self.hot, spread_by, how=how)
 
     def idf(self, df: Column) -> Column:
         return F.log(F.lit(float(self.documents + 1)) / (df + 1))
@@ -51,15 +73,49 @@ class Vocabulary:
 def weighted_terms(bags: DataFrame, vocabulary: Vocabulary) -> DataFrame:
     """``id, term, tf, idf`` in long form; a term outside the vocabulary counts as in no document."""
     postings = explode_rows(bags, F.col("terms"), "_", "posting").select("id", "posting.term", "posting.tf")
-    found = salted_join(postings, vocabulary.frequencies, "term", vocabulary.hot, spread_by="id", how="left")
+    found = vocabulary.attach(postings, spread_by="id", how="left")
     return found.select("id", "term", "tf", vocabulary.idf(F.coalesce("df", F.lit(0))).alias("idf"))
 
 
+def _weigh_rows(vocabulary: pa.Table, documents: int) -> Callable:
+    """Task function: TF-IDF weights of whole rows, with the vocabulary held in memory."""
+
+    def weigh(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        known = vocabulary.column("term").combine_chunks()
+        # The last entry is for terms that are in no document.
+        df = np.append(vocabulary.column("df").to_numpy(), 0)
+        idf = np.log((documents + 1.0) / (df + 1.0))
+        for batch in batches:
+            bags = batch.column("terms")
+            row = np.repeat(np.arange(len(bags)), pc.list_value_length(bags).to_numpy(zero_copy_only=False))
+            term, tf = bags.flatten().field("term"), bags.flatten().field("tf").to_numpy(zero_copy_only=False)
+            code = pc.fill_null(pc.index_in(term, value_set=known), len(known)).to_numpy(zero_copy_only=False)
+            weight = tf * idf[code]
+            used = weight != 0
+            row, term, weight = row[used], term.filter(pa.array(used)), weight[used]
+            norm = np.sqrt(np.bincount(row, weight * weight, len(bags)))
+            entry = pa.StructArray.from_arrays([term, pa.array(weight / norm[row])], ["term", "weight"])
+            sizes = np.bincount(row, minlength=len(bags))
+            offsets = pa.array(np.concatenate([[0], np.cumsum(sizes)]).astype(np.int32))
+            vectors = pa.RecordBatch.from_arrays(
+                [batch.column("id"), pa.ListArray.from_arrays(offsets, entry)], ["id", "vector"]
+            )
+            yield vectors.filter(pa.array(sizes > 0))
+
+    return weigh
+
+
 def tfidf_vectors(bags: DataFrame, vocabulary: Vocabulary) -> DataFrame:
     """``id, vector``: TF-IDF weights of each text, scaled to unit length.
 
     Texts whose every term has weight zero have no direction and are left out.
+    A small vocabulary is handed to the tasks, which then weigh row by row
+    without a shuffle; a large one is joined.
     """
+    if vocabulary.is_small:
+        schema = T.StructType([bags.schema["id"], T.StructField("vector", VECTOR_TYPE)])
+        weigh = _weigh_rows(vocabulary.frequencies.select("term", "df").toArrow(), vocabulary.documents)
+        return bags.select("id", "terms").mapInArrow(weigh, schema)
     weighted = weighted_terms(bags, vocabulary).select("id", "term", (F.col("tf") * F.col("idf")).alias("weight"))
     grouped = (
         weighted.filter(F.col("weight") != 0)
@@ -111,7 +167,7 @@ def summarise_long_texts(
     long_ones = df.filter(is_long).select(F.col(id).alias("id"), F.col(text).alias("text"))
     chosen = explode_rows(long_ones, sentences(F.col("text")), "position", "sentence").drop("text")
     marked = explode_rows(chosen, words(F.col("sentence")), "_", "term").select("id", "position", "term")
-    found = salted_join(marked, vocabulary.frequencies, "term", vocabulary.hot, spread_by="id")
+    found = vocabulary.attach(marked, spread_by="id", how="inner")
     scores = found.groupBy("id", "position").agg(
         F.round(F.sum(vocabulary.idf(F.col("df"))) / F.count("*"), 6).alias("score")
     )

@@ -94,7 +94,9 @@ def test_approximate_search(spark):
     assert recall >= 0.95 and scanned <= 0.5
 
 
-def test_keyword_search_against_brute_force(spark):
+@pytest.mark.parametrize("broadcast_terms", [0, 1000])
+def test_keyword_search_against_brute_force(spark, monkeypatch, broadcast_terms):
+    monkeypatch.setattr("pagequarry.operators.terms.MAX_BROADCAST_TERMS", broadcast_terms)
     texts = ["red fox", "red red dog", "blue dog", "the cat", "red fox", "", "green"]
     asked = ["red dog", "blue cat unknown", "nothing shared"]
     docs = spark.createDataFrame(list(enumerate(texts)), "d bigint, t string")
