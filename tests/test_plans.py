@@ -3,10 +3,8 @@
 import contextlib
 import io
 
-import pytest
 from pyspark.sql import functions as F
 
-import __spark_entry__ as contract
 from pagequarry.operators import ranking
 from pagequarry.operators.index import capture_changes, newest_per_key
 from pagequarry.plans.pages import pages_to_chunks
@@ -21,12 +19,6 @@ def plan(df):
     return out.getvalue()
 
 
-@pytest.mark.parametrize("name", sorted(contract.queries()))
-def test_no_query_uses_a_cross_join(spark, name):
-    text = plan(contract.queries()[name](spark, FOLDER))
-    assert "CartesianProduct" not in text and "BroadcastNestedLoopJoin" not in text
-
-
 def test_chunking_is_one_narrow_stage(spark):
     assert "Exchange" not in plan(pages_to_chunks(spark.read.parquet(f"{FOLDER}/pages.parquet")))
 
