@@ -18,11 +18,14 @@ from pyspark.sql import functions as F
 
 from pagequarry.llm import tokens
 from pagequarry.llm.components import components
+from pagequarry.llm.membership import possible_keys
 from pagequarry.session import materialise
 
 SHINGLE_WORDS = 5
 BANDS = 32
 PERMUTATIONS_PER_BAND = 2
+# How often the members of a bucket meet one of them before components meet each other.
+STAR_ROUNDS = 1
 # Least similarity of a link, as percent of the union.
 LINK_PERCENT = 75
 
@@ -85,45 +88,107 @@ def sketches(documents: DataFrame) -> DataFrame:
     )
 
 
+def _sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    for batch in batches:
+        for part in tokens.slices(batch.column("text")):
+            values, offsets = shingle_sets(part)
+            yield pa.RecordBatch.from_arrays(
+                [
+                    batch.column("doc_id").slice(part.first, len(offsets) - 1),
+                    pa.ListArray.from_arrays(pa.array(offsets, pa.int32()), tokens.as_longs(values)),
+                ],
+                names=["id", "members"],
+            )
+
+
+def candidate_sets(documents: DataFrame, ids: DataFrame) -> DataFrame:
+    """``id, members``: the full shingle sets of the rows whose doc_id is in ``ids`` (id)."""
+    texts = documents.select(F.col("doc_id").cast("bigint").alias("doc_id"), F.col("text").cast("string").alias("text"))
+    near = possible_keys(texts, "doc_id", ids.select(F.col("id").alias("doc_id")))
+    return near.mapInArrow(_sets, "id bigint, members array<bigint>").join(ids, "id", "left_semi")
+
+
 def _overlaps(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
-        left = [s for part in tokens.slices(batch.column("text_a")) for s in _row_sets(part)]
-        right = [s for part in tokens.slices(batch.column("text_b")) for s in _row_sets(part)]
-        shared = [len(np.intersect1d(x, y, assume_unique=True)) for x, y in zip(left, right)]
-        union = [len(x) + len(y) - n for x, y, n in zip(left, right, shared)]
+        shared = np.zeros(batch.num_rows, np.int64)
+        total = np.zeros(batch.num_rows, np.int64)
+        for row, (left, right) in enumerate(zip(batch.column("set_a"), batch.column("set_b"))):
+            x, y = left.values.to_numpy(), right.values.to_numpy()
+            shared[row] = len(np.intersect1d(x, y, assume_unique=True))
+            total[row] = len(x) + len(y) - shared[row]
         yield pa.RecordBatch.from_arrays(
-            [batch.column("a"), batch.column("b"), pa.array(shared, pa.int64()), pa.array(union, pa.int64())],
-            names=["a", "b", "shared", "total"],
+            [batch.column("a"), batch.column("b"), pa.array(shared), pa.array(total)], names=["a", "b", "shared", "total"]
         )
 
 
-def _row_sets(part: tokens.Slice) -> list[np.ndarray]:
-    values, offsets = shingle_sets(part)
-    return [values[offsets[r]:offsets[r + 1]] for r in range(len(offsets) - 1)]
-
-
-def overlaps(pairs: DataFrame, documents: DataFrame) -> DataFrame:
+def overlaps(pairs: DataFrame, sets: DataFrame) -> DataFrame:
     """``a, b, shared, total``: sizes of intersection and union of the full sets of each pair."""
-    texts = documents.select(F.col("doc_id").cast("bigint").alias("id"), F.col("text").cast("string").alias("text"))
-    # Only texts that take part in a pair go on; the ids are few beside the texts.
-    ids = pairs.select(F.col("a").alias("id")).union(pairs.select(F.col("b").alias("id"))).distinct()
-    wanted = materialise(texts.join(ids, "id", "left_semi"), "candidate-texts")
     both = (
-        pairs.join(wanted.select(F.col("id").alias("a"), F.col("text").alias("text_a")), "a")
-        .join(wanted.select(F.col("id").alias("b"), F.col("text").alias("text_b")), "b")
+        pairs.join(sets.select(F.col("id").alias("a"), F.col("members").alias("set_a")), "a")
+        .join(sets.select(F.col("id").alias("b"), F.col("members").alias("set_b")), "b")
+    )
+    return both.select("a", "b", "set_a", "set_b").mapInArrow(_overlaps, "a bigint, b bigint, shared bigint, total bigint")
+
+
+def links(pairs: DataFrame, sets: DataFrame) -> DataFrame:
+    """The pairs (a, b) of which 100 * intersection >= 75 * union."""
+    found = overlaps(pairs, sets).filter(F.col("shared") * 100 >= F.col("total") * LINK_PERCENT)
+    return materialise(found.select("a", "b"), "links")
+
+
+def _mixed(buckets: DataFrame, labels: DataFrame) -> DataFrame:
+    """Members of the buckets that still hold several components."""
+    labelled = buckets.join(labels.withColumnRenamed("node", "rep"), "rep", "left").withColumn(
+        "component", F.coalesce("component", "rep")
+    )
+    several = labelled.groupBy("band").agg(F.min("component").alias("low"), F.max("component").alias("high")).filter("low <> high")
+    return materialise(labelled.join(several.select("band"), "band", "left_semi"), "mixed-buckets")
+
+
+def _own_counts(members: DataFrame, sets: DataFrame) -> DataFrame:
+    """``rep, own``: how many of a member's shingles no member of another component has."""
+    labels = members.select(F.col("rep").alias("id"), "component").distinct()
+    shingles = sets.join(labels, "id").select("id", "component", F.explode("members").alias("shingle"))
+    exclusive = (
+        shingles.groupBy("shingle").agg(F.min("component").alias("low"), F.max("component").alias("high"))
+        .filter("low = high").select("shingle")
+    )
+    return shingles.join(exclusive, "shingle", "left_semi").groupBy(F.col("id").alias("rep")).agg(F.count("*").alias("own"))
+
+
+def _across(mixed: DataFrame, sets: DataFrame) -> DataFrame:
+    """Pairs of bucket members in different components that may reach the least similarity.
+
+    A member shares at most the shingles that any member of another component
+    has; these counts and the sizes bound a pair's similarity.
+    """
+    counted = (
+        mixed.join(_own_counts(mixed, sets), "rep", "left")
+        .withColumn("common", F.col("size") - F.coalesce("own", F.lit(0)))
+        .filter(F.col("common") * 100 >= F.col("size") * LINK_PERCENT)
+    )
+    counted = materialise(counted.select("band", "rep", "size", "component", "common"), "open-members")
+    left, right = (counted.select("band", *(F.col(c).alias(f"{c}_{side}") for c in ("rep", "size", "component", "common"))) for side in "ab")
+    most = F.least("common_a", "common_b")
+    return (
+        left.join(right, "band")
+        .filter((F.col("component_a") < F.col("component_b")) & (most * 100 >= (F.col("size_a") + F.col("size_b") - most) * LINK_PERCENT))
+        .select(F.col("rep_a").alias("a"), F.col("rep_b").alias("b"))
+        .distinct()
     )
-    return both.select("a", "b", "text_a", "text_b").mapInArrow(_overlaps, "a bigint, b bigint, shared bigint, total bigint")
 
 
 def near_duplicates(documents: DataFrame) -> DataFrame:
     """``doc_id, n_shingles, component_id, kept`` for every row of ``documents`` (doc_id, text).
 
     Rows with equal sets are one class, of which the smallest id takes part.
-    Members of a band bucket meet its smallest id. Where a bucket still holds
-    several components, members of different ones meet as well, unless their
-    distances to the smallest id, which differ by no more than their own
-    distance, or their sizes rule a link out. So no bucket is expanded to all
-    of its pairs, and no link between bucket members is lost.
+    Members of a band bucket meet its smallest id; where the bucket then still
+    holds several components, they meet another member, STAR_ROUNDS times in
+    all. What is left are members of different components, which meet each
+    other unless their sizes or the shingles only their own component has rule a
+    link out.
+    So no bucket is expanded to all of its pairs, and no link between members
+    of different components is left out.
 
     A row without words, text or doc_id is linked with nothing (component_id is
     its doc_id; without one it is null and the row is kept). Rows that repeat a
@@ -138,50 +203,26 @@ def near_duplicates(documents: DataFrame) -> DataFrame:
         "classes",
     )
     members = classes.select("rep", F.explode("bands").alias("band"), F.col("n_shingles").alias("size"))
-    centres = (
-        members.groupBy("band").agg(F.min("rep").alias("centre"), F.max("rep").alias("other")).filter("centre <> other")
-    ).select("band", "centre")
-    buckets = materialise(members.join(centres, "band"), "buckets")
-    pairs = materialise(buckets.filter("rep <> centre").select(F.col("rep").alias("a"), F.col("centre").alias("b")).distinct(), "pairs")
-    measured = materialise(overlaps(pairs, documents), "overlaps")
-    linked = f"100 * shared >= {LINK_PERCENT} * total"
-    edges = measured.filter(linked).select("a", "b")
-    labels = components(edges)
-
-    far = measured.groupBy(F.col("a").alias("rep"), F.col("b").alias("centre")).agg(
-        F.min(1 - F.col("shared") / F.col("total")).alias("distance")
-    )
-    labelled = (
-        buckets.join(labels.withColumnRenamed("node", "rep"), "rep", "left")
-        .withColumn("component", F.coalesce("component", "rep"))
-    )
-    mixed = labelled.groupBy("band").agg(F.min("component").alias("low"), F.max("component").alias("high")).filter("low <> high")
-    open_members = materialise(
-        labelled.join(mixed.select("band"), "band", "left_semi")
-        .join(far, ["rep", "centre"], "left")
-        .withColumn("distance", F.coalesce("distance", F.lit(0.0))),
-        "mixed-buckets",
-    )
-    left = open_members.select("band", *(F.col(c).alias(f"{c}_a") for c in ("rep", "size", "component", "distance")))
-    right = open_members.select("band", *(F.col(c).alias(f"{c}_b") for c in ("rep", "size", "component", "distance")))
-    least = LINK_PERCENT / 100
-    more = (
-        left.join(right, "band")
-        .filter(
-            (F.col("component_a") < F.col("component_b"))
-            & (F.abs(F.col("distance_a") - F.col("distance_b")) <= 1 - least + 1e-9)
-            & (F.least("size_a", "size_b") * 100 >= F.greatest("size_a", "size_b") * LINK_PERCENT)
+    shared_bands = members.groupBy("band").agg(F.min("rep").alias("low"), F.max("rep").alias("high")).filter("low <> high")
+    buckets = materialise(members.join(shared_bands.select("band"), "band", "left_semi"), "buckets")
+    sets = materialise(candidate_sets(documents, buckets.select(F.col("rep").alias("id")).distinct()), "candidate-sets")
+    edges = labels = None
+    mixed = buckets.withColumn("component", F.col("rep"))
+    for turn in range(STAR_ROUNDS):
+        order = F.col("rep") if turn == 0 else F.xxhash64("rep", F.lit(turn))
+        centres = mixed.groupBy("band").agg(F.min_by(F.struct("rep", "component"), order).alias("centre"))
+        pairs = (
+            mixed.join(centres, "band").filter("component <> centre.component")
+            .select(F.least("rep", "centre.rep").alias("a"), F.greatest("rep", "centre.rep").alias("b")).distinct()
         )
-        .select(F.col("rep_a").alias("a"), F.col("rep_b").alias("b"))
-        .distinct()
-    )
-    unseen = materialise(
-        more.join(pairs, ["a", "b"], "left_anti").join(pairs.select(F.col("b").alias("a"), F.col("a").alias("b")), ["a", "b"], "left_anti"),
-        "pairs",
-    )
-    if unseen.limit(1).count():
-        late = overlaps(unseen, documents).filter(linked).select("a", "b")
-        labels = components(edges.union(late))
+        found = links(pairs, sets)
+        edges = found if edges is None else edges.union(found)
+        labels = components(edges)
+        mixed = _mixed(buckets, labels)
+        if mixed.limit(1).count() == 0:
+            break
+    else:
+        labels = components(edges.union(links(_across(mixed, sets), sets)))
     named = classes.join(labels.withColumnRenamed("node", "rep"), "rep", "left").select(
         *whole_set, F.coalesce("component", "rep").alias("found")
     )
