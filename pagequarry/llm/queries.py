@@ -37,3 +37,11 @@ def op6_minmax_dedup(spark: SparkSession, folder: str) -> DataFrame:
     from pagequarry.llm.minhash import near_duplicates
 
     return near_duplicates(table(spark, folder, "documents"))
+
+
+@query()
+def op5_codeword_language(spark: SparkSession, folder: str) -> DataFrame:
+    from pagequarry.llm.language import held_out, identify, learn
+
+    documents = table(spark, folder, "documents")
+    return identify(documents, learn(documents, ~held_out()))
