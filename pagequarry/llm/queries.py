@@ -45,3 +45,18 @@ def op5_codeword_language(spark: SparkSession, folder: str) -> DataFrame:
 
     documents = table(spark, folder, "documents")
     return identify(documents, learn(documents, ~held_out()))
+
+
+@query()
+def op1_ftrl_toxicity(spark: SparkSession, folder: str) -> DataFrame:
+    from pagequarry.llm.toxicity import held_out, learn, score
+
+    documents = table(spark, folder, "documents")
+    return score(documents, learn(documents, table(spark, folder, "labels"), ~held_out()))
+
+
+@query(sql.QUALITY)
+def op3_host_quality(spark: SparkSession, folder: str) -> DataFrame:
+    from pagequarry.llm.quality import judge
+
+    return judge(table(spark, folder, "documents"))

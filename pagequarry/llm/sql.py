@@ -24,3 +24,38 @@ reach(a, b) AS (
 SELECT doc_id, CAST(len(g) AS BIGINT) AS n_shingles, component_id, doc_id = component_id AS kept
 FROM s JOIN c ON c.a = s.doc_id
 """
+
+QUALITY = r"""
+WITH w AS (
+  SELECT doc_id, source AS host, coalesce(text, '') AS text, regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS words
+  FROM documents
+), g AS (
+  SELECT doc_id, i, words[i:i + 2] AS g FROM w, unnest(range(1, greatest(len(words) - 1, 1))) AS t(i) WHERE len(words) >= 3
+), twice AS (SELECT doc_id, g FROM g GROUP BY 1, 2 HAVING count(*) > 1),
+covered AS (
+  SELECT doc_id, count(DISTINCT i + k) AS n FROM g JOIN twice USING (doc_id, g), unnest([0, 1, 2]) AS t(k) GROUP BY 1
+), lines AS (
+  SELECT doc_id, list_filter(string_split(text, chr(10)), lambda x: regexp_matches(x, '[^\x20\x09-\x0D]')) AS lines FROM w
+), m AS (
+  SELECT w.doc_id, host, CAST(len(words) AS BIGINT) AS n_words,
+    CAST(length(array_to_string(words, '')) AS BIGINT) AS word_chars,
+    CAST(length(regexp_replace(text, '[^#*$%&|<>]', '', 'g')) AS BIGINT) AS n_symbols,
+    CAST(len(lines) - len(list_distinct(lines)) AS BIGINT) AS n_dup_lines,
+    CAST(coalesce(c.n, 0) AS BIGINT) AS n_repeat_words
+  FROM w JOIN lines USING (doc_id) LEFT JOIN covered c USING (doc_id)
+), f AS (
+  SELECT *, CAST(n_words < 50 AS INT) AS f1, CAST(100 * n_repeat_words > 50 * n_words AS INT) AS f2,
+    CAST(10 * n_symbols > 3 * n_words AS INT) AS f3, CAST(10 * n_dup_lines > n_words AS INT) AS f4 FROM m
+), h AS (
+  SELECT host, count(*) AS n, [sum(f1), sum(f2), sum(f3), sum(f4)] AS fails FROM f WHERE host IS NOT NULL GROUP BY 1
+), r AS (SELECT host, n, k, CAST(fails[k] AS DOUBLE) AS bad FROM h, unnest([1, 2, 3, 4]) AS t(k)),
+prior AS (SELECT k, avg(bad / n) AS mu, var_pop(bad / n) AS v, greatest(1.0, avg(n)) AS most FROM r GROUP BY 1),
+strength AS (
+  SELECT k, mu, CASE WHEN v > 0 THEN least(most, greatest(1.0, mu * (1 - mu) / v - 1)) ELSE most END AS s FROM prior
+), verdict AS (
+  SELECT host, max((bad + mu * s) / (n + s)) <= 0.5 AS passed FROM r JOIN strength USING (k) GROUP BY 1
+)
+SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, f1 + f2 > 0 AS base_failed,
+  f1 + f2 = 0 AND coalesce(passed, true) AS kept, coalesce(passed, true) AS host_passed
+FROM f LEFT JOIN verdict USING (host)
+"""
