@@ -5,6 +5,7 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from pagequarry.llm import sql
 from pagequarry.session import spread
@@ -60,3 +61,27 @@ def op3_host_quality(spark: SparkSession, folder: str) -> DataFrame:
     from pagequarry.llm.quality import judge
 
     return judge(table(spark, folder, "documents"))
+
+
+@query()
+def op8_boosted_pii(spark: SparkSession, folder: str) -> DataFrame:
+    from pagequarry.llm.pii import find, learn
+
+    documents = table(spark, folder, "documents")
+    return find(documents, learn(documents))
+
+
+@query(sql.OVERLAPS)
+def op9_spaced_seeds(spark: SparkSession, folder: str) -> DataFrame:
+    from pagequarry.llm.decontamination import overlaps
+
+    return overlaps(table(spark, folder, "documents"), table(spark, folder, "benchmark"))
+
+
+@query(sql.LOSS_DIFFERENCE)
+def op10_loss_difference(spark: SparkSession, folder: str) -> DataFrame:
+    from pagequarry.llm.lm_scoring import learn, score
+
+    documents = table(spark, folder, "documents")
+    good = table(spark, folder, "labels").filter("quality = 1")
+    return score(documents, learn(documents, good)).withColumn("difference", F.round("difference", 6))

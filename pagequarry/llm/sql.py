@@ -59,3 +59,48 @@ SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, f1 +
   f1 + f2 = 0 AND coalesce(passed, true) AS kept, coalesce(passed, true) AS host_passed
 FROM f LEFT JOIN verdict USING (host)
 """
+
+OVERLAPS = r"""
+WITH d AS (
+  SELECT doc_id, regexp_extract_all(
+    translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+') AS words
+  FROM documents WHERE text IS NOT NULL
+), i AS (
+  SELECT item_id, regexp_extract_all(
+    translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+') AS words
+  FROM benchmark WHERE text IS NOT NULL
+), dw AS (SELECT doc_id, unnest(words) AS w, unnest(range(len(words))) AS p FROM d),
+iw AS (SELECT item_id, len(words) AS size, unnest(words) AS w, unnest(range(len(words))) AS p FROM i WHERE len(words) >= 5),
+m AS (
+  SELECT doc_id, item_id, size, dw.p - iw.p AS shift, list(iw.p) AS ps FROM dw JOIN iw USING (w)
+  GROUP BY 1, 2, 3, 4 HAVING count(*) >= least(size, 10)
+), best AS (
+  SELECT doc_id, item_id, size, CASE WHEN size < 12 THEN len(ps) ELSE list_max(list_transform(
+    range(size - 11), lambda s: len(list_filter(ps, lambda p: p >= s AND p < s + 12)))) END AS matched FROM m
+)
+SELECT doc_id, item_id, CAST(max(matched) AS BIGINT) AS matched FROM best
+WHERE matched >= CASE WHEN size < 12 THEN size ELSE 10 END GROUP BY 1, 2
+"""
+
+LOSS_DIFFERENCE = r"""
+WITH d AS (
+  SELECT doc_id, coalesce(doc_id IN (SELECT doc_id FROM labels WHERE quality = 1), false) AS target, regexp_extract_all(
+    translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x20\x09-\x0D]+') AS words
+  FROM documents
+), t AS (SELECT doc_id, target, unnest(words) AS w, unnest(range(len(words))) AS p FROM d),
+v AS (SELECT w FROM t GROUP BY w ORDER BY count(*) DESC, w LIMIT 1022),
+n AS (SELECT doc_id, target, p, CASE WHEN v.w IS NULL THEN 'unknown' ELSE 'word ' || v.w END AS w FROM t LEFT JOIN v USING (w)),
+b AS (SELECT doc_id, target, w, coalesce(lag(w) OVER (PARTITION BY doc_id ORDER BY p), 'boundary') AS c FROM n),
+pairs AS (SELECT c, w, count(*) AS nb, count(*) FILTER (WHERE target) AS nt FROM b GROUP BY 1, 2),
+cs AS (SELECT c, sum(nb) AS cb, sum(nt) AS ct FROM pairs GROUP BY 1),
+ws AS (SELECT w, sum(nb) AS wb, sum(nt) AS wt FROM pairs GROUP BY 1),
+z AS (SELECT sum(nb) AS zb, sum(nt) AS zt FROM pairs),
+x AS (
+  SELECT c, w,
+    -ln(0.7 * CASE WHEN ct > 0 THEN nt / ct WHEN zt > 0 THEN wt / zt ELSE 0 END + 0.25 * CASE WHEN zt > 0 THEN wt / zt ELSE 0 END + 0.05 / 1023)
+    + ln(0.7 * nb / cb + 0.25 * wb / zb + 0.05 / 1023) AS x
+  FROM pairs JOIN cs USING (c) JOIN ws USING (w) CROSS JOIN z
+), s AS (SELECT doc_id, count(*) AS n, avg(x) AS x FROM b JOIN x USING (c, w) GROUP BY 1)
+SELECT doc_id, CAST(coalesce(n, 0) AS BIGINT) AS n_tokens, round(coalesce(x, 0.0), 6) AS difference
+FROM documents LEFT JOIN s USING (doc_id)
+"""

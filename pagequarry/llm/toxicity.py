@@ -4,8 +4,8 @@ A text's features are the distinct words, word pairs and pairs with one or two
 words between them, hashed to BUCKETS. Every shard of the learning rows runs
 FTRL-proximal (per-coordinate rates, L1) from the common state; the changes of
 a coordinate are averaged over the shards that met it, by a grouped sum, and the
-next round goes on from there. L1 leaves few weights that are not 0, so the model that scoring tasks
-receive is a short list of bucket and weight.
+next round goes on from there. L1 leaves few weights that are not 0, so the
+model that scoring tasks receive is a short list of bucket and weight.
 """
 
 from __future__ import annotations
@@ -29,8 +29,9 @@ MAX_LEARNING_ROWS = 30_000
 SHARDS = 4
 ROUNDS = 6
 ALPHA, BETA, L1, L2 = 2.0, 1.0, 2.0, 0.0
-# Features of fewer learning rows stay out, as they would only name those rows.
+# A feature is taken in when it has so many learning rows and its share of toxic ones is no chance (chi-square).
 MIN_ROWS = 5
+MIN_CHI_SQUARE = 10.0
 TOXIC_FROM = 0.7
 
 
@@ -66,10 +67,27 @@ def weights_of(z: np.ndarray, n: np.ndarray) -> np.ndarray:
     return np.where(np.abs(z) <= L1, 0.0, -(z - np.sign(z) * L1) / ((BETA + np.sqrt(n)) / ALPHA + L2))
 
 
-def _featured(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+def _row_counts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    totals = np.zeros((2, BUCKETS), np.int64)
+    for batch in batches:
+        toxic = batch.column("toxic").to_pylist()
+        for part in tokens.slices(batch.column("text")):
+            for row, buckets in enumerate(_row_features(part)):
+                totals[0, buckets] += 1
+                totals[1, buckets] += toxic[part.first + row]
+    used = np.flatnonzero(totals[0])
+    yield pa.RecordBatch.from_arrays(
+        [pa.array(used, pa.int32()), pa.array(totals[0][used], pa.int32()), pa.array(totals[1][used], pa.int32())],
+        names=["bucket", "n", "n_toxic"],
+    )
+
+
+def _featured(batches: Iterator[pa.RecordBatch], taken: np.ndarray) -> Iterator[pa.RecordBatch]:
+    chosen = np.zeros(BUCKETS + 1, bool)
+    chosen[taken] = True
     for batch in batches:
         for part in tokens.slices(batch.column("text")):
-            rows = _row_features(part)
+            rows = [buckets[chosen[buckets]] for buckets in _row_features(part)]
             offsets = np.concatenate([[0], np.cumsum([len(row) for row in rows])])
             yield pa.RecordBatch.from_arrays(
                 [
@@ -80,14 +98,6 @@ def _featured(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             )
 
 
-def _row_counts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    total = np.zeros(BUCKETS, np.int64)
-    for batch in batches:
-        total += np.bincount(batch.column("buckets").flatten().to_numpy(), minlength=BUCKETS)
-    used = np.flatnonzero(total)
-    yield pa.RecordBatch.from_arrays([pa.array(used, pa.int32()), pa.array(total[used])], names=["bucket", "n"])
-
-
 class _State(NamedTuple):
     """Gradient sums ``z`` and squared sums ``n`` of the coordinates taken in; the last one is the bias."""
 
@@ -137,17 +147,26 @@ def learn(documents: DataFrame, labels: DataFrame, learning: Column | None = Non
         "text IS NOT NULL"
     ).join(F.broadcast(chosen), "doc_id")
     dealt = rows.repartition(SHARDS, F.xxhash64("doc_id")).sortWithinPartitions(F.hash("doc_id")).select("text", "toxic")
-    sample = materialise(dealt.mapInArrow(_featured, "toxic int, buckets array<int>"), "toxicity-rows")
+    chosen_rows = materialise(dealt, "toxicity-rows")
+    n_rows, n_toxic = chosen_rows.agg(F.count("*"), F.coalesce(F.sum("toxic"), F.lit(0))).first()
+    rate = n_toxic / max(1, n_rows)
+    off = F.col("n_toxic") - F.col("n") * rate
+    chance = F.col("n") * (rate * (1 - rate)) * (1 - F.col("n") / max(1, n_rows)) + 1e-9
     taken = (
-        sample.select("buckets").mapInArrow(_row_counts, "bucket int, n bigint")
-        .groupBy("bucket").agg(F.sum("n").alias("n")).filter(F.col("n") >= MIN_ROWS).select("bucket").toArrow()
+        chosen_rows.coalesce(SHARDS).mapInArrow(_row_counts, "bucket int, n int, n_toxic int")
+        .groupBy("bucket").agg(F.sum("n").alias("n"), F.sum("n_toxic").alias("n_toxic"))
+        .filter((F.col("n") >= MIN_ROWS) & (off * off >= chance * MIN_CHI_SQUARE)).select("bucket").toArrow()
     )
     buckets = np.append(np.sort(taken.column("bucket").to_numpy()), BUCKETS).astype(np.int64)
+    inside = documents.sparkSession.sparkContext.broadcast(buckets)
+    sample = materialise(
+        chosen_rows.mapInArrow(lambda batches: _featured(batches, inside.value), "toxic int, buckets array<int>"), "toxicity-features"
+    )
     state = _State(buckets, np.zeros(len(buckets)), np.zeros(len(buckets)))
     for _ in range(ROUNDS):
         shared = documents.sparkSession.sparkContext.broadcast(state)
         merged = (
-            sample.mapInArrow(lambda batches, s=shared: _trained(batches, s.value), "place int, z double, n double")
+            sample.coalesce(SHARDS).mapInArrow(lambda batches, s=shared: _trained(batches, s.value), "place int, z double, n double")
             .groupBy("place").agg(F.avg("z").alias("z"), F.avg("n").alias("n")).toArrow()
         )
         at = merged.column("place").to_numpy()
