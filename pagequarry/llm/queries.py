@@ -85,3 +85,24 @@ def op10_loss_difference(spark: SparkSession, folder: str) -> DataFrame:
     documents = table(spark, folder, "documents")
     good = table(spark, folder, "labels").filter("quality = 1")
     return score(documents, learn(documents, good)).withColumn("difference", F.round("difference", 6))
+
+
+@query()
+def op2_soft_mixing(spark: SparkSession, folder: str) -> DataFrame:
+    from pagequarry.llm.mixing import mixing_rates
+
+    return mixing_rates(table(spark, folder, "documents"), table(spark, folder, "labels"))
+
+
+@query(sql.PREFERENCES)
+def op4_preference_pairs(spark: SparkSession, folder: str) -> DataFrame:
+    from pagequarry.llm.preferences import neighbour_pairs, preference_pairs
+
+    return preference_pairs(*neighbour_pairs(table(spark, folder, "conversations")))
+
+
+@query()
+def op7_layout_text(spark: SparkSession, folder: str) -> DataFrame:
+    from pagequarry.llm.rendering import visible_texts
+
+    return visible_texts(table(spark, folder, "pages"))

@@ -104,3 +104,33 @@ x AS (
 SELECT doc_id, CAST(coalesce(n, 0) AS BIGINT) AS n_tokens, round(coalesce(x, 0.0), 6) AS difference
 FROM documents LEFT JOIN s USING (doc_id)
 """
+
+PREFERENCES = r"""
+WITH c AS (SELECT conv_id AS pair_id, turn, coalesce(role, '') AS role, coalesce(text, '') AS text FROM conversations),
+ends AS (SELECT pair_id, max(turn) AS last FROM c WHERE role = 'assistant' GROUP BY 1),
+reply AS (SELECT pair_id - 1 AS pair_id, text AS other FROM c JOIN ends USING (pair_id) WHERE turn = last),
+g AS (SELECT pair_id, turn, role, text FROM c JOIN ends USING (pair_id) WHERE turn <= last),
+b AS (
+  SELECT pair_id, turn, role, CASE WHEN turn = last THEN other ELSE text END AS text
+  FROM c JOIN ends USING (pair_id) LEFT JOIN reply USING (pair_id) WHERE turn < last OR turn = last AND other IS NOT NULL
+), d AS (
+  SELECT pair_id, min(turn) FILTER (WHERE g.role IS DISTINCT FROM b.role OR g.text IS DISTINCT FROM b.text) AS differs
+  FROM g FULL JOIN b USING (pair_id, turn) GROUP BY 1
+), parts AS (
+  SELECT pair_id, turn, CASE WHEN differs IS NULL OR turn < differs THEN 'p' ELSE 'g' END AS part, role, text FROM g JOIN d USING (pair_id)
+  UNION ALL SELECT pair_id, turn, 'b', role, text FROM b JOIN d USING (pair_id) WHERE turn >= differs
+), r AS (
+  SELECT *, '<|' || role || '|>' || chr(10) || text || '<|end|>' || chr(10) AS piece FROM parts
+), o AS (
+  SELECT *, coalesce(sum(length(piece)) OVER (PARTITION BY pair_id, part ORDER BY turn ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS at FROM r
+), a AS (
+  SELECT pair_id, part, count(*) AS n, string_agg(piece, '' ORDER BY turn) AS text, coalesce(string_agg(
+    CAST(at + length(role) + 5 AS VARCHAR) || ':' || CAST(at + length(piece) - 1 AS VARCHAR), ',' ORDER BY turn)
+    FILTER (WHERE role = 'assistant'), '') AS mask FROM o GROUP BY 1, 2
+)
+SELECT d.pair_id, CAST(coalesce(max(n) FILTER (WHERE part = 'p'), 0) AS BIGINT) AS n_prompt_turns,
+  coalesce(max(text) FILTER (WHERE part = 'p'), '') AS prompt, coalesce(max(text) FILTER (WHERE part = 'g'), '') AS chosen,
+  coalesce(max(text) FILTER (WHERE part = 'b'), '') AS rejected, coalesce(max(mask) FILTER (WHERE part = 'g'), '') AS chosen_mask,
+  coalesce(max(mask) FILTER (WHERE part = 'b'), '') AS rejected_mask
+FROM d LEFT JOIN a USING (pair_id) GROUP BY 1
+"""
