@@ -122,10 +122,10 @@ b AS (
 ), r AS (
   SELECT *, '<|' || role || '|>' || chr(10) || text || '<|end|>' || chr(10) AS piece FROM parts
 ), o AS (
-  SELECT *, coalesce(sum(length(piece)) OVER (PARTITION BY pair_id, part ORDER BY turn ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS at FROM r
+  SELECT *, coalesce(sum(length(piece)) OVER (PARTITION BY pair_id, part ORDER BY turn ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS before FROM r
 ), a AS (
   SELECT pair_id, part, count(*) AS n, string_agg(piece, '' ORDER BY turn) AS text, coalesce(string_agg(
-    CAST(at + length(role) + 5 AS VARCHAR) || ':' || CAST(at + length(piece) - 1 AS VARCHAR), ',' ORDER BY turn)
+    CAST(before + length(role) + 5 AS VARCHAR) || ':' || CAST(before + length(piece) - 1 AS VARCHAR), ',' ORDER BY turn)
     FILTER (WHERE role = 'assistant'), '') AS mask FROM o GROUP BY 1, 2
 )
 SELECT d.pair_id, CAST(coalesce(max(n) FILTER (WHERE part = 'p'), 0) AS BIGINT) AS n_prompt_turns,
