@@ -59,8 +59,8 @@ def collapse_blank_lines(text: Column) -> Column:
 
 
 def words(text: Column) -> Column:
-    """Lower-case runs of the letters a to z."""
-    return F.array_remove(F.split(F.lower(text), "[^a-z]+"), "")
+    """Lower-case runs of letters, of any script."""
+    return F.array_remove(F.split(F.lower(text), r"[^\p{L}]+"), "")
 
 
 def remove_stop_words(text: Column, stop_words: Sequence[str] = STOP_WORDS) -> Column:

@@ -2,8 +2,8 @@
 
 from __future__ import annotations
 
-import numpy as np
-import pandas as pd
+from collections.abc import Iterable
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -59,15 +59,12 @@ def embed_questions(questions: DataFrame, text: str, embedder: Embedder) -> Data
     return questions.select("qid", embed(F.coalesce(text, F.lit("")), embedder).alias("vector"))
 
 
-def as_questions(spark: SparkSession, asked: str | list[str] | pd.DataFrame | np.ndarray) -> DataFrame:
-    """``qid, question`` from one string, a list, or the first column of a frame or array."""
-    if isinstance(asked, str):
-        asked = [asked]
-    elif isinstance(asked, pd.DataFrame):
-        asked = asked.iloc[:, 0].tolist()
-    elif isinstance(asked, np.ndarray):
-        asked = asked[:, 0].tolist()
-    return spark.createDataFrame(list(enumerate(asked)), "qid bigint, question string")
+def as_questions(spark: SparkSession, asked: DataFrame | Iterable[str]) -> DataFrame:
+    """``qid, question``: those columns of a DataFrame, or numbered strings in the order given."""
+    if isinstance(asked, DataFrame):
+        return asked.select("qid", "question")
+    numbered = enumerate((asked,) if isinstance(asked, str) else map(str, asked))
+    return spark.createDataFrame(list(numbered), "qid bigint, question string")
 
 
 def answer_questions(

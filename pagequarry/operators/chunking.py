@@ -67,8 +67,8 @@ def page_chunks(
     pattern: str = TOKEN_PATTERN,
     keep_tail: bool = False,
 ) -> Column:
-    """Chunks of one page: its whole text if that fits, packed sections otherwise."""
-    return let(
+    """Chunks of one page: its whole text if that fits, packed sections otherwise; null for a null page."""
+    chunks = let(
         sections(html, tag),
         lambda parts: let(
             F.array_join(parts, ""),
@@ -77,6 +77,7 @@ def page_chunks(
             ).otherwise(F.array(collapse_blank_lines(text))),
         ),
     )
+    return F.when(html.isNotNull(), chunks)
 
 
 class RegexTokenizer:

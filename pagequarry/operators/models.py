@@ -31,7 +31,10 @@ def call_model(prompt: Column, model: TextModel) -> Column:
             prompts = batch.to_pylist()
             asked = [i for i, text in enumerate(prompts) if text is not None]
             replies: list[str | None] = [None] * len(prompts)
-            for i, text in zip(asked, run([prompts[i] for i in asked])):
+            answers = run([prompts[i] for i in asked])
+            if len(answers) != len(asked):
+                raise ValueError(f"{len(answers)} replies to {len(asked)} prompts")
+            for i, text in zip(asked, answers):
                 replies[i] = text
             yield pa.array(replies, pa.string())
 
@@ -56,6 +59,8 @@ def embed(text: Column, embedder: Embedder) -> Column:
                 continue
             run = run or embedder()
             matrix = np.asarray(run(batch.drop_null()), dtype=np.float32)
+            if len(matrix) != given.sum():
+                raise ValueError(f"{len(matrix)} vectors for {given.sum()} texts")
             offsets = np.concatenate([[0], np.cumsum(given)]).astype(np.int32) * matrix.shape[1]
             yield pa.ListArray.from_arrays(pa.array(offsets), pa.array(matrix.reshape(-1)), mask=pa.array(~given))
 
@@ -81,7 +86,7 @@ def hashed_words(dimension: int = 64, cache_size: int = 1_000_000) -> Embedder:
             return value
 
         def run(texts: pa.Array) -> np.ndarray:
-            pieces = pc.split_pattern_regex(pc.utf8_lower(texts), "[^a-z]+")
+            pieces = pc.split_pattern_regex(pc.utf8_lower(texts), r"[^\p{L}]+")
             row = np.repeat(np.arange(len(texts)), pc.list_value_length(pieces).to_numpy(zero_copy_only=False))
             coded = pieces.flatten().dictionary_encode()
             vocabulary = coded.dictionary.to_pylist()

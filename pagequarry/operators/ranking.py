@@ -21,13 +21,22 @@ from pyspark.sql import types as T
 
 from pagequarry.functions.vectors import score_matrix
 
-SCORE_DIGITS = 6
+# Scores are ranked at so many significant digits, so that noise in the last bits decides no tie.
+SCORE_DIGITS = 9
 MAX_BROADCAST_QUESTIONS = 4096
 MAX_BROADCAST_VALUES = 8_000_000
 QUESTION_BLOCK = 2048
 INDEX_BLOCK = 50_000
 
 
+def significant(values: np.ndarray, digits: int = SCORE_DIGITS) -> np.ndarray:
+    """``values`` at ``digits`` significant digits, however large or small they are."""
+    size = np.zeros(values.shape)
+    np.log10(np.abs(values), out=size, where=values != 0)
+    scale = 10.0 ** (digits - 1 - np.floor(size))
+    return np.round(values * scale) / scale + 0.0
+
+
 class BestK:
     """Running best k candidates of several questions, ties going to the lower id."""
 
@@ -39,19 +48,19 @@ class BestK:
         self.floor = np.full(questions, -np.inf)
 
     def add(self, scores: np.ndarray, ids: np.ndarray, positive_only: bool = False) -> None:
-        scores = np.round(scores, SCORE_DIGITS) + 0.0
         bound = self.floor
         if scores.shape[1] > self.k:
             local = -np.partition(-scores, self.k - 1, axis=1)[:, self.k - 1]
             bound = np.maximum(bound, local)
-        wanted = scores >= bound[:, None]
+        # A little below the bound, as scores are compared at SCORE_DIGITS digits afterwards.
+        wanted = scores >= (bound - np.where(np.isfinite(bound), np.abs(bound), 0.0) * 10.0 ** (2 - SCORE_DIGITS))[:, None]
         if positive_only:
             wanted &= scores > 0
         q, column = np.nonzero(wanted)
         if not len(q):
             return
         question = np.concatenate([self.question, q])
-        score = np.concatenate([self.score, scores[q, column]])
+        score = np.concatenate([self.score, significant(scores[q, column])])
         id_ = ids[column] if self.id is None else np.concatenate([self.id, ids[column]])
         order = np.lexsort((id_, -score, question))
         question, score, id_ = question[order], score[order], id_[order]
@@ -335,7 +344,7 @@ def approximate_nearest(
     schema = _local_schema(questions, celled_index)
     sizes = F.broadcast(
         celled_index.groupBy("cell").count()
-        .filter(F.col("cell") < len(centroids))
+        .withColumn("cell", F.when(F.col("cell") < len(centroids), F.col("cell")).otherwise(F.raise_error(F.lit("cells of another training")).cast("bigint")))
         .select("cell", F.ceil(F.col("count") / index_block).alias("parts"))
     )
     a = max(1, math.ceil(questions.count() / question_block))

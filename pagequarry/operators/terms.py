@@ -169,7 +169,7 @@ def summarise_long_texts(
     marked = explode_rows(chosen, words(F.col("sentence")), "_", "term").select("id", "position", "term")
     found = vocabulary.attach(marked, spread_by="id", how="inner")
     scores = found.groupBy("id", "position").agg(
-        F.round(F.sum(vocabulary.idf(F.col("df"))) / F.count("*"), 6).alias("score")
+        F.round(F.sum(vocabulary.idf(F.col("df"))) / F.count("*"), 9).alias("score")
     )
     order = Window.partitionBy("id").orderBy(F.desc("score"), F.asc("position"))
     best = scores.withColumn("n", F.row_number().over(order)).filter(F.col("n") <= keep).select("id", "position")
@@ -180,6 +180,6 @@ def summarise_long_texts(
         .select(F.col("id").alias(id), F.array_join("kept.sentence", " ").alias("_summary"))
     )
     short = df.filter(~is_long).withColumn(output, F.col(text))
-    # A long text without words has nothing to rank and becomes empty.
-    shortened = df.filter(is_long).join(summaries, id, "left").withColumn(output, F.coalesce("_summary", F.lit("")))
+    # A long text without words has nothing to rank and stays as it is.
+    shortened = df.filter(is_long).join(summaries, id, "left").withColumn(output, F.coalesce("_summary", text))
     return short.unionByName(shortened.drop("_summary"))

@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from pagequarry.functions.text import explode_rows
 from pagequarry.operators.prompts import fill_template
 from pagequarry.operators.skew import hot_keys, salted_join
+from pagequarry.session import materialise
 
 QUESTION_TEMPLATE = (
     "Text: {document}\nPropose one or two questions that this text answers. Reply with a JSON array of strings only."
@@ -35,7 +36,12 @@ def question_rows(df: DataFrame, doc_id: str, questions: Column) -> DataFrame:
 
 
 def with_documents(questions: DataFrame, documents: DataFrame, id: str, spread_by: str) -> DataFrame:
-    """Inner join of questions to their documents, also when one document has most questions."""
+    """Inner join of questions to their documents, also when one document has most questions.
+
+    The questions are written first, as they are read several times and may
+    come from a model.
+    """
+    questions = materialise(questions, "questions")
     counts = questions.groupBy("doc_id").agg(F.count("*").alias("n"))
     total = counts.agg(F.sum("n")).first()[0] or 0
     lookup = documents.withColumnRenamed(id, "doc_id")

@@ -172,7 +172,7 @@ def _l2_hits(k: int, condition: str = "true", columns: str = "qid, rank, id, sco
     return f"""
     WITH scores AS (
         SELECT q.vec_id AS qid, d.vec_id AS id,
-               round(1 / (1 + power(list_distance(q.embedding::DOUBLE[], d.embedding::DOUBLE[]), 2)), 6) AS score
+               {sql.significant('(1 / (1 + power(list_distance(q.embedding::DOUBLE[], d.embedding::DOUBLE[]), 2)))')} AS score
         FROM embeddings q JOIN embeddings d ON q.vec_id <> d.vec_id AND {condition}),
     ranked AS (
         SELECT *, row_number() OVER (PARTITION BY qid ORDER BY score DESC, id) AS rank FROM scores)
@@ -224,7 +224,7 @@ def _keyword_hits(k: int, tail: str) -> str:
     {sql.tfidf('d', 'documents', 'doc_id', 'text', 'c', stop)},
     {sql.tfidf('q', 'benchmark', 'item_id', 'text', 'c', stop)},
     scores AS (
-        SELECT q.id AS qid, d.id AS id, round(sum(q.w * d.w), 6) AS score
+        SELECT q.id AS qid, d.id AS id, {sql.significant('sum(q.w * d.w)')} AS score
         FROM q JOIN d USING (term) GROUP BY 1, 2),
     hits AS (
         SELECT * FROM (SELECT qid, row_number() OVER (PARTITION BY qid ORDER BY score DESC, id) AS rank, id, score

@@ -12,6 +12,10 @@ def quoted(text: str) -> str:
     return "'" + text.replace("'", "''") + "'"
 
 
+def significant(number: str, digits: int = 9) -> str:
+    return f"CASE WHEN {number} = 0 THEN 0 ELSE round({number}, CAST({digits - 1} - floor(log10(abs({number}))) AS INTEGER)) END"
+
+
 def replace_all(column: str, pattern: str, by: str) -> str:
     return f"regexp_replace({column}, {quoted(pattern)}, {quoted(by)}, 'g')"
 
@@ -25,7 +29,7 @@ def collapse(column: str) -> str:
 
 
 def words(column: str) -> str:
-    return f"list_filter(string_split_regex(lower({column}), '[^a-z]+'), lambda w: w <> '')"
+    return f"list_filter(string_split_regex(lower({column}), '[^\\p{{L}}]+'), lambda w: w <> '')"
 
 
 def tokens(column: str, pattern: str = TOKEN_PATTERN) -> str:
@@ -100,7 +104,7 @@ def cosine_ranking(name: str, questions: str, index: str) -> str:
         SELECT q.id AS qid, d.id AS id, sum(q.w * d.w) AS s
         FROM {questions} q JOIN {index} d USING (dim) GROUP BY 1, 2),
     {name}_scores AS (
-        SELECT qid, t.id, round(s / sqrt(a.n * b.n), 6) AS score
+        SELECT qid, t.id, {significant('(s / sqrt(a.n * b.n))')} AS score
         FROM {name}_dot t JOIN {name}_ql a ON a.id = qid JOIN {name}_dl b ON b.id = t.id),
     {name} AS (
         SELECT qid, row_number() OVER (PARTITION BY qid ORDER BY score DESC, id) AS rank, id, score

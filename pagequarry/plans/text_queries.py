@@ -117,7 +117,7 @@ def _summaries(source: str, id: str, limit: int, keep: int) -> str:
         FROM (SELECT {id} AS id, text FROM {source} WHERE length(text) > {limit})),
     placed AS (SELECT id, unnest(range(len(sentences))) AS position, unnest(sentences) AS sentence FROM split),
     scored AS (
-        SELECT id, position, round(sum(ln((n + 1) / (df + 1))) / count(*), 6) AS score
+        SELECT id, position, round(sum(ln((n + 1) / (df + 1))) / count(*), 9) AS score
         FROM (SELECT id, position, unnest({sql.words('sentence')}) AS term FROM placed) JOIN c_df USING (term), c_n
         GROUP BY 1, 2),
     best AS (
@@ -126,7 +126,7 @@ def _summaries(source: str, id: str, limit: int, keep: int) -> str:
     summaries AS (
         SELECT id, string_agg(sentence, ' ' ORDER BY position) AS summary
         FROM placed JOIN best USING (id, position) GROUP BY id)
-    SELECT d.{id}, CASE WHEN length(d.text) > {limit} THEN coalesce(summary, '') ELSE d.text END AS text_short
+    SELECT d.{id}, CASE WHEN length(d.text) > {limit} THEN coalesce(summary, d.text) ELSE d.text END AS text_short
     FROM {source} d LEFT JOIN summaries s ON s.id = d.{id}"""
 
 

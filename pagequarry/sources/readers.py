@@ -15,10 +15,11 @@ MEMO_SCHEMA = T.StructType([T.StructField(name, T.StringType()) for name in ("Ti
 def read_memo_export(spark: SparkSession, path: str) -> DataFrame:
     """The CSV export. Cells span lines, so a file is read by one task; split large exports into files.
 
-    Columns are matched by the header, in any order. Everything arrives as
-    text: the date patterns cannot be inferred.
+    Columns are matched by the header, in any order; files whose headers
+    differ fail and have to be read one by one. Everything arrives as text: the
+    date patterns cannot be inferred.
     """
-    options = {"header": True, "multiLine": True, "quote": '"', "escape": '"'}
+    options = {"header": True, "enforceSchema": False, "multiLine": True, "quote": '"', "escape": '"'}
     found = spark.read.options(**options).csv(path)
     missing = [F.lit(None).cast("string").alias(name) for name in MEMO_SCHEMA.names if name not in found.columns]
     return found.select(*[F.col(f"`{name}`") for name in found.columns], *missing)

@@ -68,9 +68,22 @@ class VersionedTable:
         return self.overwrite(self.read().filter(~F.coalesce(condition, F.lit(False))))
 
     def publish(self, name: str) -> None:
-        """Point the catalog table ``name`` at the newest version; no data moves."""
-        self.spark.sql(f"DROP TABLE IF EXISTS {name}")
-        self.spark.catalog.createTable(name, path=self.path(), source="parquet")
+        """Point the catalog table ``name`` at the newest version; no data moves.
+
+        A table of that name is only repointed when it already is an external
+        one on a version of this folder; any other is refused.
+        """
+        if not self.spark.catalog.tableExists(name):
+            self.spark.catalog.createTable(name, path=self.path(), source="parquet")
+            return
+        about = {r.col_name: r.data_type for r in self.spark.sql(f"DESCRIBE TABLE EXTENDED {name}").collect()}
+        _, jvm = _file_system(self.spark, self.folder)
+        own = jvm.org.apache.hadoop.fs.Path(self.folder).toUri().getPath()
+        there = jvm.org.apache.hadoop.fs.Path(about.get("Location") or "/").toUri().getPath()
+        if about.get("Type") != "EXTERNAL" or not there.startswith(f"{own}/v="):
+            raise ValueError(f"{name} is no table on {self.folder}")
+        self.spark.sql(f"ALTER TABLE {name} SET LOCATION '{self.path()}'")
+        self.spark.catalog.refreshTable(name)
 
     def write_if_needed(self, df: DataFrame, min_rows: int, force: bool = False) -> bool:
         """Write unless a version with at least ``min_rows`` rows is there; tells whether it wrote."""

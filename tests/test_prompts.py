@@ -96,17 +96,24 @@ def test_training_runs_resume(spark, tmp_path):
     docs = spark.createDataFrame([(i, f"text {i}") for i in range(30)], "doc_id bigint, text string")
     questions = new_questions(docs, "doc_id", "text", stub_question_model()).cache()
     folder = str(tmp_path / "answers")
-    asked = []
 
     def model():
-        return lambda prompts: [p + " answer" for p in prompts]
+        def run(prompts):
+            with open(tmp_path / "asked", "a") as log:
+                log.write("x" * len(prompts))
+            return [p + " answer" for p in prompts]
+
+        return run
+
+    def asked():
+        return len((tmp_path / "asked").read_text())
 
     half = questions.filter("doc_id < 15")
     new_answers(half, docs, folder, 1, model)
     new_answers(questions, docs, folder, 2, model)
     rows = spark.read.parquet(folder)
     assert rows.count() == questions.count() and rows.filter("run = 1").count() == half.count()
-    assert {r.answer for r in rows.collect()} == {"answer"} and not asked
+    assert {r.answer for r in rows.collect()} == {"answer"} and asked() == questions.count()
     batches = training.in_batches(questions, "doc_id", 4)
     assert batches.filter("batch < 0 OR batch > 3").isEmpty()
     new_answers(questions, docs, folder, 2, model)
