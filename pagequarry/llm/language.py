@@ -67,6 +67,9 @@ def _grams(part: tokens.Slice) -> Iterator[np.ndarray]:
         at = ends - back
         short[at[at >= begins]] = back
     for order in ORDERS:
+        if n < order:
+            yield np.full(n, BUCKETS, np.uint32)
+            continue
         key, inner_blank = letters.copy(), np.zeros(n, bool)
         for place in range(1, order):
             key[:n - place] = key[:n - place] * np.uint32(257) + letters[place:]
@@ -260,18 +263,21 @@ def identified(documents: DataFrame) -> DataFrame:
     there are none, texts with a letter stay.
     """
     model = learn(documents)
+    name = "_text"
+    while name in documents.columns:
+        name += "_"
     shared = documents.sparkSession.sparkContext.broadcast(model)
 
     def keep(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         known = shared.value
         for batch in batches:
-            for part in tokens.slices(batch.column("_text")):
+            for part in tokens.slices(batch.column(name)):
                 chosen = _has_letter(part)
                 if len(known.languages) > 1:
                     losses = np.logaddexp(0, -_margins(part, known.weights)[:, None, :] * known.code[None]) * known.bit_weights
                     losses = losses.sum(axis=2)
                     chosen &= 1 / np.exp(losses.min(axis=1, keepdims=True) - losses).sum(axis=1) >= AMBIGUOUS_BELOW
                 rows = batch.slice(part.first, len(chosen)).filter(pa.array(chosen))
-                yield rows.drop_columns(["_text"])
+                yield rows.drop_columns([name])
 
-    return documents.withColumn("_text", F.col("text").cast("string")).mapInArrow(keep, documents.schema)
+    return documents.withColumn(name, F.col("text").cast("string")).mapInArrow(keep, documents.schema)

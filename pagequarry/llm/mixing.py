@@ -204,7 +204,8 @@ def mixing_rates(documents: DataFrame, labels: DataFrame, targets: dict[str, flo
     memberships = materialise(posteriors(documents, model), "memberships") if model.domains else None
     if memberships is None:
         return documents.select(
-            F.col("doc_id").cast("bigint").alias("doc_id"), F.lit(0).cast("bigint").alias("n_tokens"),
+            F.col("doc_id").cast("bigint").alias("doc_id"),
+            F.coalesce(F.regexp_count(F.col("text").cast("string"), F.lit(r"[^\x20\x09-\x0D]+")), F.lit(0)).cast("bigint").alias("n_tokens"),
             F.lit(None).cast("string").alias("domain"), F.lit(None).cast("double").alias("posterior"), F.lit(1.0).alias("rate"),
         )
     wanted = np.array([(TARGETS if targets is None else targets).get(name, 0.0) for name in model.domains])
@@ -223,10 +224,11 @@ def mixed(documents: DataFrame, labels: DataFrame) -> DataFrame:
 
     Copies are the whole part of the rate plus one with the chance of the rest,
     drawn by a hash of doc_id and text, so that a repeated run mixes alike. A
-    row without doc_id goes in once.
+    row without doc_id goes in once. Columns of these two names are replaced.
     """
     rates = mixing_rates(documents, labels).filter("doc_id IS NOT NULL").groupBy(F.col("doc_id").alias("_id")).agg(F.max("rate").alias("mix_rate"))
     drawn = F.pmod(F.xxhash64("doc_id", "text"), F.lit(1 << 30)) / F.lit(1 << 30)
     copies = F.floor("mix_rate") + F.when(drawn < F.col("mix_rate") - F.floor("mix_rate"), 1).otherwise(0)
-    joined = documents.join(rates, documents["doc_id"].cast("bigint") == rates["_id"], "left").drop("_id")
+    documents = documents.drop("mix_rate", "mix_copies")
+    joined = documents.join(rates, documents["doc_id"].cast("bigint") == rates["_id"], "left").drop(rates["_id"])
     return joined.withColumn("mix_rate", F.coalesce("mix_rate", F.lit(1.0))).withColumn("mix_copies", copies.cast("bigint")).filter("mix_copies > 0")
