@@ -239,7 +239,10 @@ def _render(node: Node | str, out: _Lines, exact: bool = False) -> None:
     if not visible(node):
         return
     if tag == "br":
-        out.end(keep=bool(out.line) or exact)
+        if out.line or exact:
+            out.end(keep=True)
+        else:
+            out.gap = True
     elif tag == "hr":
         out.space()
     elif tag == "img":

@@ -354,7 +354,7 @@ def test_repeated_and_null_turns(spark):
     schema = "pair_id bigint, turn bigint, role string, text string"
     chosen = spark.createDataFrame([(1, 0, "user", "hi"), (1, 0, "user", "hi"), (1, 1, "assistant", None), (1, None, "user", "lost")], schema)
     row = preferences.preference_pairs(chosen, spark.createDataFrame([], schema)).collect()
-    assert [tuple(r) for r in row] == [(1, 0, "", "<|user|>\nhi<|end|>\n<|assistant|>\n<|end|>\n", "", "32:39", "")]
+    assert [tuple(r) for r in row] == [(1, 0, "", "<|user|>\nhi<|end|>\n<|assistant|>\n<|end|>\n", "", "33:40", "")]
 
 
 # ---- pages ----
