@@ -9,11 +9,12 @@ similarity 0.75 shares none of them with probability (1 - 0.75^4)^32 < 1e-5.
 
 from __future__ import annotations
 
+import math
 from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from pagequarry.llm import tokens
@@ -28,6 +29,10 @@ PERMUTATIONS_PER_BAND = 2
 STAR_ROUNDS = 1
 # Least similarity of a link, as percent of the union.
 LINK_PERCENT = 75
+# Sizes of sets are compared by steps of this ratio.
+SIZE_STEP = 1.03
+# What is kept of a member of a bucket beside a shingle.
+MEMBER = ("id", "size", "component", "rest")
 
 _random = np.random.default_rng(71)
 _FACTORS = _random.integers(1, 1 << 63, BANDS * PERMUTATIONS_PER_BAND, dtype=np.uint64) | np.uint64(1)
@@ -145,35 +150,76 @@ def _mixed(buckets: DataFrame, labels: DataFrame) -> DataFrame:
     return materialise(labelled.join(several.select("band"), "band", "left_semi"), "mixed-buckets")
 
 
-def _own_counts(members: DataFrame, sets: DataFrame) -> DataFrame:
-    """``rep, own``: how many of a member's shingles no member of another component has."""
+def _rarest_first(members: DataFrame, sets: DataFrame) -> DataFrame:
+    """``id, size, component, shingle, rest``: the rare shingles of each member that may start a link.
+
+    A member's shingles are ordered by how many members have them (those that
+    one component alone has come first, equal counts by hash), alike for all.
+    ``rest`` counts a shingle and what follows it; a link has at least 75
+    percent of the member's set from its first shared shingle on.
+    """
     labels = members.select(F.col("rep").alias("id"), "component").distinct()
-    shingles = sets.join(labels, "id").select("id", "component", F.explode("members").alias("shingle"))
-    exclusive = (
-        shingles.groupBy("shingle").agg(F.min("component").alias("low"), F.max("component").alias("high"))
-        .filter("low = high").select("shingle")
+    shingles = sets.join(labels, "id").select("id", "component", F.size("members").alias("size"), F.explode("members").alias("shingle"))
+    spread = shingles.groupBy("shingle").agg(
+        F.when(F.min("component") < F.max("component"), F.count("*")).otherwise(0).alias("held")
+    )
+    ordered = (
+        shingles.join(spread, "shingle")
+        .groupBy("id")
+        .agg(F.first("component").alias("component"), F.first("size").alias("size"), F.sort_array(F.collect_list(F.struct("held", "shingle"))).alias("held"))
+    )
+    # As many leading shingles as leave 75 percent of the set from the last of them on.
+    leading = F.expr(f"slice(held, 1, cast(size - ceil(size * {LINK_PERCENT} / 100) + 1 as int))")
+    return (
+        ordered.select("id", "component", "size", F.posexplode(leading).alias("place", "found"))
+        .filter("found.held > 0")
+        .select("id", "component", "size", F.col("found.shingle").alias("shingle"), (F.col("size") - F.col("place")).alias("rest"))
     )
-    return shingles.join(exclusive, "shingle", "left_semi").groupBy(F.col("id").alias("rep")).agg(F.count("*").alias("own"))
+
+
+def _size_step(size: str) -> Column:
+    return F.floor(F.log(F.expr(size)) / math.log(SIZE_STEP))
 
 
 def _across(mixed: DataFrame, sets: DataFrame) -> DataFrame:
     """Pairs of bucket members in different components that may reach the least similarity.
 
-    A member shares at most the shingles that any member of another component
-    has; these counts and the sizes bound a pair's similarity.
+    Members meet where they share one of their rarest shingles. A pair's first
+    shared shingle bounds its intersection by what follows in either set, so a
+    pair without a shingle that leaves enough behind it in both cannot link.
+    The larger of two sets looks, by steps of size, only for sets small enough
+    for what its shingle leaves; the smaller one needs 6/7 of its own behind it.
     """
-    counted = (
-        mixed.join(_own_counts(mixed, sets), "rep", "left")
-        .withColumn("common", F.col("size") - F.coalesce("own", F.lit(0)))
-        .filter(F.col("common") * 100 >= F.col("size") * LINK_PERCENT)
+    leading = materialise(_rarest_first(mixed, sets), "leading-shingles")
+    smaller = leading.filter(F.col("rest") * (100 + LINK_PERCENT) >= F.col("size") * 2 * LINK_PERCENT)
+    smaller = smaller.select("shingle", _size_step("size").alias("step"), *(F.col(c).alias(f"{c}_a") for c in MEMBER))
+    # Sizes of a smaller set that can reach LINK_PERCENT with at most ``rest`` shingles shared.
+    least = f"(size * {LINK_PERCENT} + 99) div 100"
+    most = f"least(size, rest * {100 + LINK_PERCENT} div {LINK_PERCENT} - size)"
+    larger = leading.filter(f"{least} <= {most}").select(
+        "shingle", F.explode(F.sequence(_size_step(least), _size_step(most))).alias("step"), *(F.col(c).alias(f"{c}_b") for c in MEMBER)
+    )
+    # The commonest component of a meeting point does not meet itself there.
+    meeting = (
+        smaller.select("shingle", "step", F.col("component_a").alias("component"))
+        .union(larger.select("shingle", "step", "component_b"))
+        .groupBy("shingle", "step", "component").count()
+        .groupBy("shingle", "step")
+        .agg(F.max_by("component", F.struct("count", "component")).alias("main"), F.count("*").alias("several"))
+        .filter("several > 1")
+        .select("shingle", "step", "main")
     )
-    counted = materialise(counted.select("band", "rep", "size", "component", "common"), "open-members")
-    left, right = (counted.select("band", *(F.col(c).alias(f"{c}_{side}") for c in ("rep", "size", "component", "common"))) for side in "ab")
-    most = F.least("common_a", "common_b")
+    smaller = smaller.join(meeting, ["shingle", "step"]).withColumn("in_main", F.col("component_a") == F.col("main")).drop("main")
+    larger = larger.join(meeting, ["shingle", "step"]).withColumn(
+        "in_main", F.explode(F.when(F.col("component_b") == F.col("main"), F.array(F.lit(False))).otherwise(F.array(F.lit(False), F.lit(True))))
+    ).drop("main")
+    shared = F.least("rest_a", "rest_b")
     return (
-        left.join(right, "band")
-        .filter((F.col("component_a") < F.col("component_b")) & (most * 100 >= (F.col("size_a") + F.col("size_b") - most) * LINK_PERCENT))
-        .select(F.col("rep_a").alias("a"), F.col("rep_b").alias("b"))
+        smaller.join(larger, ["shingle", "step", "in_main"])
+        .filter(F.col("component_a") != F.col("component_b"))
+        .filter((F.col("size_a") < F.col("size_b")) | ((F.col("size_a") == F.col("size_b")) & (F.col("id_a") < F.col("id_b"))))
+        .filter(shared * 100 >= (F.col("size_a") + F.col("size_b") - shared) * LINK_PERCENT)
+        .select(F.least("id_a", "id_b").alias("a"), F.greatest("id_a", "id_b").alias("b"))
         .distinct()
     )
 
@@ -184,9 +230,8 @@ def near_duplicates(documents: DataFrame) -> DataFrame:
     Rows with equal sets are one class, of which the smallest id takes part.
     Members of a band bucket meet its smallest id; where the bucket then still
     holds several components, they meet another member, STAR_ROUNDS times in
-    all. What is left are members of different components, which meet each
-    other unless their sizes or the shingles only their own component has rule a
-    link out.
+    all. What is left are members of different components, which meet where
+    their rarest shingles allow a link.
     So no bucket is expanded to all of its pairs, and no link between members
     of different components is left out.
 

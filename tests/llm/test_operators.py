@@ -104,6 +104,34 @@ def test_near_duplicates_equal_brute_force_on_edited_copies(spark):
     assert {r.doc_id: (r.n_shingles, r.component_id, r.kept) for r in found} == brute_components(texts)
 
 
+def test_members_of_other_components_meet_where_they_may_link(spark):
+    """Many edits of one text, in few words: half link to it, half do not; _across misses no link and makes few pairs."""
+    rng = random.Random(11)
+    base = [f"w{k}" for k in range(150)]
+    texts = {0: " ".join(base)}
+    for row in range(1, 240):
+        again = row > 200
+        words = texts[rng.randrange(1, 200)].split() if again else base[:rng.choice((150, 150, 140))]
+        for _ in range(1 if again else rng.choice((4, 5, 6))):
+            words[rng.randrange(len(words))] = f"n{rng.randrange(12)}"
+        texts[row] = " ".join(words)
+    sets = {}
+    for row, text in texts.items():
+        words = text.split()
+        sets[row] = {tuple(words[k:k + 5]) for k in range(len(words) - 4)}
+    alike = {(a, b) for a in sets for b in sets if a < b and 100 * len(sets[a] & sets[b]) >= 75 * len(sets[a] | sets[b])}
+    star = {row: 0 if row == 0 or (0, row) in alike else row for row in sets}
+    documents = frame(spark, list(texts.items())).cache()
+    members = frame(spark, [(row, star[row]) for row in sets], "rep bigint, component bigint")
+    full = minhash.candidate_sets(documents, members.select(F.col("rep").alias("id"))).cache()
+    pairs = {tuple(r) for r in minhash._across(members, full).collect()}
+    wanted = {(a, b) for a, b in alike if star[a] != star[b]}
+    apart = sum(star[a] != star[b] for a in sets for b in sets if a < b)
+    assert wanted and wanted <= pairs and len(pairs) < apart / 4
+    found = minhash.near_duplicates(documents).collect()
+    assert {r.doc_id: (r.n_shingles, r.component_id, r.kept) for r in found} == brute_components(texts)
+
+
 def test_min_and_max_of_a_permutation_agree_as_often_as_sets_overlap():
     rng = np.random.default_rng(3)
     pool = rng.integers(1, 1 << 63, 400, dtype=np.uint64)
