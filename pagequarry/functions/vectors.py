@@ -32,3 +32,9 @@ def score_matrix(questions: np.ndarray, vectors: np.ndarray, metric: str) -> np.
         return np.divide(products, scale, out=np.zeros_like(products), where=scale > 0)
     distance = np.maximum(q_norm + v_norm - 2.0 * products, 0.0)
     return 1.0 / (1.0 + distance)
+
+
+def vector_sum(vector: Column) -> Column:
+    """A vector's values weighed by position, so that a stale or wrong vector shows."""
+    weighed = F.transform(vector, lambda x, at: x.cast("double") * (at + 1))
+    return F.round(F.aggregate(weighed, F.lit(0.0), lambda total, x: total + x), 6)

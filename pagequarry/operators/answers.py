@@ -60,11 +60,15 @@ def embed_questions(questions: DataFrame, text: str, embedder: Embedder) -> Data
 
 
 def as_questions(spark: SparkSession, asked: DataFrame | Iterable[str]) -> DataFrame:
-    """``qid, question``: those columns of a DataFrame, or numbered strings in the order given."""
+    """``qid, question``: those columns of a DataFrame, or numbered strings in the order given.
+
+    Of rows with several fields the first one is the question.
+    """
     if isinstance(asked, DataFrame):
         return asked.select("qid", "question")
-    numbered = enumerate((asked,) if isinstance(asked, str) else map(str, asked))
-    return spark.createDataFrame(list(numbered), "qid bigint, question string")
+    rows = [asked] if isinstance(asked, str) else asked.itertuples(index=False) if hasattr(asked, "itertuples") else asked
+    numbered = [(qid, str(row if isinstance(row, str) else next(iter(row)))) for qid, row in enumerate(rows)]
+    return spark.createDataFrame(numbered, "qid bigint, question string")
 
 
 def answer_questions(
@@ -79,17 +83,20 @@ def answer_questions(
     id: str = "id",
     content: str = "content",
     url: str = "url",
+    history: str | None = None,
 ) -> DataFrame:
     """``qid, answer, prompt`` for ``questions (qid, question)``, any number at once.
 
     The best document above ``threshold`` is added to the prompt and linked in
-    the answer; without one the model is asked on its own.
+    the answer; without one the model is asked on its own. ``history`` names a
+    column of ``questions`` with the messages before a follow-up question.
     """
     asked = materialise(embed_questions(questions, "question", embedder), "questions")
     hits = nearest(asked, index, 1, scoring, where=where)
     found = attach_columns(best_hit(hits, threshold), documents, id, content, url)
     joined = questions.join(found.select("qid", content, url), "qid", "left")
-    prompts = joined.select("qid", url, F.to_json(chat_messages(F.col("question"), F.col(content))).alias("prompt"))
+    messages = chat_messages(F.col("question"), F.col(content), history=None if history is None else F.col(history))
+    prompts = joined.select("qid", url, F.to_json(messages).alias("prompt"))
     replied = prompts.withColumn("response", call_model(F.col("prompt"), model))
     return replied.select("qid", final_answer(response_text(F.col("response")), F.col(url)).alias("answer"), "prompt")
 

@@ -33,19 +33,25 @@ def pack_sections(
     min_tokens: int = MIN_TOKENS,
     pattern: str = TOKEN_PATTERN,
     keep_tail: bool = False,
+    keep_all: bool = False,
 ) -> Column:
     """Grow a chunk section by section, closing it once it exceeds half of ``max_tokens``.
 
     What is left at the end becomes a chunk if it has more than ``min_tokens``
     and is lost otherwise; ``keep_tail`` keeps any tail with a token in it.
+    What exceeds ``max_tokens`` in a chunk is cut off; ``keep_all`` makes it
+    further chunks, and keeps the tail.
     """
 
     def state(open_text: Column, done: Column) -> Column:
         return F.struct(open_text.alias("open"), done.alias("done")).cast(_STATE)
 
     def closed(current: Column) -> Column:
-        chunk = let(collapse_blank_lines(current["open"]), lambda text: truncate_tokens(text, max_tokens, pattern))
-        return F.concat(current["done"], F.array(chunk))
+        if keep_all:
+            cut = fixed_length_chunks(collapse_blank_lines(current["open"]), max_tokens, pattern)
+        else:
+            cut = F.array(let(collapse_blank_lines(current["open"]), lambda text: truncate_tokens(text, max_tokens, pattern)))
+        return F.concat(current["done"], cut)
 
     def step(current: Column, part: Column) -> Column:
         return F.when(token_count(current["open"], pattern) * 2 > max_tokens, state(part, closed(current))).otherwise(
@@ -53,7 +59,7 @@ def pack_sections(
         )
 
     def finish(current: Column) -> Column:
-        least = 0 if keep_tail else min_tokens
+        least = 0 if keep_tail or keep_all else min_tokens
         return F.when(token_count(current["open"], pattern) > least, closed(current)).otherwise(current["done"])
 
     return F.aggregate(parts, state(F.lit(""), F.array().cast("array<string>")), step, finish)
@@ -66,6 +72,7 @@ def page_chunks(
     tag: str = "h2",
     pattern: str = TOKEN_PATTERN,
     keep_tail: bool = False,
+    keep_all: bool = False,
 ) -> Column:
     """Chunks of one page: its whole text if that fits, packed sections otherwise; null for a null page."""
     chunks = let(
@@ -73,7 +80,8 @@ def page_chunks(
         lambda parts: let(
             F.array_join(parts, ""),
             lambda text: F.when(
-                token_count(text, pattern) > max_tokens, pack_sections(parts, max_tokens, min_tokens, pattern, keep_tail)
+                token_count(text, pattern) > max_tokens,
+                pack_sections(parts, max_tokens, min_tokens, pattern, keep_tail, keep_all),
             ).otherwise(F.array(collapse_blank_lines(text))),
         ),
     )
@@ -107,7 +115,20 @@ def _tidy(text: str) -> str:
     return re.sub("\n{3,}", "\n\n", text).strip()
 
 
-def _split_page(html: str, tokenizer, max_tokens: int, min_tokens: int, boundary: re.Pattern) -> list[str]:
+def _cut(text: str, tokenizer, max_tokens: int, keep_all: bool) -> list[str]:
+    """``text`` up to ``max_tokens``, with ``keep_all`` followed by the rest in pieces of that length."""
+    first = tokenizer.truncate(text, max_tokens)
+    pieces, rest = [first], text[len(first):]
+    while keep_all and first and tokenizer.count(rest):
+        first = tokenizer.truncate(rest, max_tokens)
+        pieces.append(first)
+        rest = rest[len(first):]
+    return pieces
+
+
+def _split_page(
+    html: str, tokenizer, max_tokens: int, min_tokens: int, boundary: re.Pattern, keep_tail: bool, keep_all: bool
+) -> list[str]:
     parts = [_plain(part) for part in boundary.split(re.sub(INVISIBLE_PATTERN, "", html))]
     text = "".join(parts)
     if tokenizer.count(text) <= max_tokens:
@@ -115,11 +136,11 @@ def _split_page(html: str, tokenizer, max_tokens: int, min_tokens: int, boundary
     chunks, grown = [], ""
     for part in parts:
         if tokenizer.count(grown) * 2 > max_tokens:
-            chunks.append(tokenizer.truncate(_tidy(grown), max_tokens))
+            chunks += _cut(_tidy(grown), tokenizer, max_tokens, keep_all)
             grown = ""
         grown += part
-    if tokenizer.count(grown) > min_tokens:
-        chunks.append(tokenizer.truncate(_tidy(grown), max_tokens))
+    if tokenizer.count(grown) > (0 if keep_tail or keep_all else min_tokens):
+        chunks += _cut(_tidy(grown), tokenizer, max_tokens, keep_all)
     return chunks
 
 
@@ -129,16 +150,20 @@ def page_chunks_with(
     max_tokens: int = MAX_TOKENS,
     min_tokens: int = MIN_TOKENS,
     tag: str = "h2",
+    keep_tail: bool = False,
+    keep_all: bool = False,
 ) -> Column:
-    """:func:`page_chunks` for a Python tokenizer, which is built once per task."""
+    """:func:`page_chunks` for a Python tokenizer, which is built once per task, when its first batch arrives."""
 
     @F.pandas_udf("array<string>")
     def chunks(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
-        loaded = tokenizer()
-        boundary = re.compile(rf"(?=<{tag}[ >])")
+        loaded, boundary = None, re.compile(rf"(?=<{tag}[ >])")
         for pages in batches:
+            loaded = loaded or tokenizer()
             yield pages.map(
-                lambda page: None if page is None else _split_page(page, loaded, max_tokens, min_tokens, boundary)
+                lambda page: None
+                if page is None
+                else _split_page(page, loaded, max_tokens, min_tokens, boundary, keep_tail, keep_all)
             )
 
     return chunks(html)

@@ -99,7 +99,7 @@ def upsert_vectors(
     """``index`` with ``rows`` put in or replaced by key.
 
     Vectors of another length than ``dimension`` fail the job and columns have
-    to agree. Among ``rows`` the greatest ``order`` of a key wins. The index
+    to agree. Among ``rows`` the greatest ``order`` of a key wins, of equal ones the greatest vector. The index
     itself is not regrouped: its replaced keys are taken out by an anti join.
     """
     declared = {field.name: field.dataType for field in index.schema}
@@ -110,7 +110,7 @@ def upsert_vectors(
     if order is None:
         newest = refuse_duplicates(checked, key)
     else:
-        newest = newest_per_key(checked, key, order).drop(order)
+        newest = newest_per_key(checked, key, order, vector).drop(order)
     kept = index.join(rows.select(key).distinct(), key, "left_anti")
     return kept.unionByName(newest)
 

@@ -8,14 +8,15 @@ from pyspark.sql import functions as F
 from pagequarry.session import materialise
 
 
-def dense_ids(df: DataFrame, *order: str, name: str = "id", partitions: int = 200) -> DataFrame:
+def dense_ids(df: DataFrame, *order: str, name: str = "id", partitions: int | None = None) -> DataFrame:
     """Consecutive numbers from 1 in the order of the unique columns ``order``.
 
     Rows are range-partitioned, sorted and written once; each partition's
-    start is the sum of the sizes before it, a list of ``partitions`` rows.
+    start is the sum of the sizes before it, a list of as many rows. Without
+    ``partitions`` the session's shuffle settings decide their number.
     """
     placed = (
-        df.repartitionByRange(partitions, *order)
+        df.repartitionByRange(*(() if partitions is None else (partitions,)), *order)
         .sortWithinPartitions(*order)
         .withColumn("_at", F.monotonically_increasing_id())
     )

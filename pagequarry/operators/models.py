@@ -41,6 +41,41 @@ def call_model(prompt: Column, model: TextModel) -> Column:
     return reply(prompt)
 
 
+def try_model(prompt: Column, model: TextModel) -> Column:
+    """``struct<reply, error>`` of each prompt; one that fails leaves the others their replies.
+
+    After an error the prompts of the batch are sent one by one. A null prompt
+    is not sent and has neither reply nor error.
+    """
+
+    def attempt(run: Callable[[list[str]], list[str]], prompts: list[str]) -> list[tuple[str | None, str | None]]:
+        try:
+            answers = run(prompts)
+            if len(answers) != len(prompts):
+                raise ValueError(f"{len(answers)} replies to {len(prompts)} prompts")
+            return [(answer, None) for answer in answers]
+        except Exception as error:  # whatever a model raises belongs to its prompt
+            if len(prompts) == 1:
+                return [(None, f"{type(error).__name__}: {error}")]
+            return [attempt(run, [one])[0] for one in prompts]
+
+    @F.arrow_udf("struct<reply: string, error: string>")
+    def outcome(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
+        run = None
+        for batch in batches:
+            run = run or model()
+            prompts = batch.to_pylist()
+            asked = [i for i, text in enumerate(prompts) if text is not None]
+            replies: list[str | None] = [None] * len(prompts)
+            errors: list[str | None] = [None] * len(prompts)
+            found = attempt(run, [prompts[i] for i in asked]) if asked else []
+            for i, (reply, error) in zip(asked, found):
+                replies[i], errors[i] = reply, error
+            yield pa.StructArray.from_arrays([pa.array(replies, pa.string()), pa.array(errors, pa.string())], ["reply", "error"])
+
+    return outcome(prompt)
+
+
 def summarise_with(text: Column, model: TextModel, limit: int = 10_000) -> Column:
     """Summaries by ``model`` of texts over ``limit`` characters; other texts are not sent and stay."""
     return F.coalesce(call_model(F.when(long_texts(text, limit), text), model), text)

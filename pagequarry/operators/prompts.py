@@ -45,10 +45,18 @@ def chat_messages(
     system_text: str = SYSTEM_TEXT,
     passage_intro: str = PASSAGE_INTRO,
     user_template: str = USER_TEMPLATE,
+    history: Column | None = None,
 ) -> Column:
-    """System and user message; the passage joins the system message when there is one."""
+    """System and user message; the passage joins the system message when there is one.
+
+    ``history``, an array of messages ``role, content``, comes between the two.
+    """
     system = F.concat(F.lit(system_text), F.when(passage.isNotNull(), F.concat(F.lit(passage_intro), passage)).otherwise(""))
-    return F.array(message("system", system), message("user", fill_template(user_template, question=question)))
+    user = message("user", fill_template(user_template, question=question))
+    if history is None:
+        return F.array(message("system", system), user)
+    earlier = F.coalesce(history, F.array().cast("array<struct<role:string,content:string>>"))
+    return F.concat(F.array(message("system", system)), earlier, F.array(user))
 
 
 def response_text(response: Column) -> Column:
@@ -124,12 +132,19 @@ def _parts(turns: DataFrame, part_turns: int) -> DataFrame:
     )
 
 
+def _joined(parts: DataFrame, text: Column, name: str, separator: str = "") -> DataFrame:
+    """``conv_id`` and the texts of its parts, in order, as one."""
+    pieces = parts.select("conv_id", "part", text.alias("piece"))
+    ordered = F.array_sort(F.collect_list(F.struct("part", "piece"))).alias("pieces")
+    return pieces.groupBy("conv_id").agg(ordered).select("conv_id", F.array_join("pieces.piece", separator).alias(name))
+
+
 def conversation_prompts(turns: DataFrame, layout: TurnLayout = TurnLayout(), part_turns: int = PART_TURNS) -> DataFrame:
-    """``conv_id, part, prompt``: conversations ``conv_id, turn, role, text`` as model prompts.
+    """``conv_id, prompt``: conversations ``conv_id, turn, role, text`` as model prompts.
 
-    A system turn opens the block of the user turn after it. A conversation
-    over ``part_turns`` turns continues in further parts, so no group grows
-    with the conversation; the prompt is the parts in order.
+    A system turn opens the block of the user turn after it. Turns are joined
+    in parts of ``part_turns``, the parts then to one prompt, so that a long
+    conversation is laid out by many tasks.
     """
 
     def piece(turn: Column, before: Column) -> Column:
@@ -146,15 +161,15 @@ def conversation_prompts(turns: DataFrame, layout: TurnLayout = TurnLayout(), pa
 
     turns_column = F.col("turns")
     pieces = F.transform(turns_column, lambda t, i: piece(t, F.get(turns_column, i - 1)["role"]))
-    return _parts(turns, part_turns).select("conv_id", "part", F.array_join(pieces, "").alias("prompt"))
+    return _joined(_parts(turns, part_turns), F.array_join(pieces, ""), "prompt")
 
 
 def conversation_history(turns: DataFrame, separator: str = "\n", part_turns: int = PART_TURNS) -> DataFrame:
-    """``conv_id, part, history``: lines ``role: text`` in order, for follow-up questions."""
+    """``conv_id, history``: lines ``role: text`` in order, for follow-up questions."""
     line = F.struct("turn", F.concat_ws(": ", "role", "text").alias("line"))
-    return (
+    parts = (
         turns.withColumn("part", F.floor(F.col("turn") / part_turns))
         .groupBy("conv_id", "part")
         .agg(F.array_sort(F.collect_list(line)).alias("lines"))
-        .select("conv_id", "part", F.array_join("lines.line", separator).alias("history"))
     )
+    return _joined(parts, F.array_join("lines.line", separator), "history", separator)

@@ -20,6 +20,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from pagequarry.functions.vectors import score_matrix
+from pagequarry.session import materialise
 
 # Scores are ranked at so many significant digits, so that noise in the last bits decides no tie.
 SCORE_DIGITS = 9
@@ -337,8 +338,10 @@ def approximate_nearest(
 ) -> DataFrame:
     """Best ``k`` among the vectors in each question's ``probes`` closest cells.
 
-    Probing every cell gives the exact answer. A cell with many vectors is
-    divided into blocks, so a popular cell is shared by several tasks.
+    Probing every cell gives the exact answer. A cell with many vectors, or one
+    that many questions probe, is divided into blocks, so a popular cell is
+    shared by several tasks. Only vectors of probed cells are shuffled, once
+    for every ``question_block`` questions that probe their cell.
     """
     questions = questions.select("qid", "vector")
     schema = _local_schema(questions, celled_index)
@@ -347,19 +350,24 @@ def approximate_nearest(
         .withColumn("cell", F.when(F.col("cell") < len(centroids), F.col("cell")).otherwise(F.raise_error(F.lit("cells of another training")).cast("bigint")))
         .select("cell", F.ceil(F.col("count") / index_block).alias("parts"))
     )
-    a = max(1, math.ceil(questions.count() / question_block))
+    probed = materialise(
+        questions.withColumn("cell", F.explode(nearest_cells(F.col("vector"), centroids, probes))), "probed-cells"
+    )
+    # One row per centre at most, as ``sizes``.
+    probes_of = F.broadcast(
+        probed.groupBy("cell").count().select("cell", F.ceil(F.col("count") / question_block).alias("groups"))
+    )
     left = (
-        questions.withColumn("qb", F.pmod(F.xxhash64("qid"), F.lit(a)))
-        .withColumn("cell", F.explode(nearest_cells(F.col("vector"), centroids, probes)))
-        .join(sizes, "cell")
+        probed.join(sizes, "cell").join(probes_of, "cell")
+        .withColumn("qb", F.pmod(F.xxhash64("qid"), F.col("groups")))
         .withColumn("ib", F.explode(_numbers(F.col("parts"))))
-        .drop("parts")
+        .drop("parts", "groups")
     )
     right = (
         celled_index.select("id", "vector", "cell")
-        .join(sizes, "cell")
+        .join(sizes, "cell").join(probes_of, "cell")
         .withColumn("ib", F.pmod(F.xxhash64("id"), F.col("parts")))
-        .withColumn("qb", F.explode(_numbers(F.lit(a))))
-        .drop("parts")
+        .withColumn("qb", F.explode(_numbers(F.col("groups"))))
+        .drop("parts", "groups")
     )
     return rank(_score_cells(left, right, ["cell", "ib", "qb"], Dense(metric), k, schema), k)

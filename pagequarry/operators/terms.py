@@ -162,6 +162,8 @@ def summarise_long_texts(
     the whole collection; kept sentences stay in order. Other texts pass
     through unchanged and are not shuffled.
     """
+    # Read four times below, and perhaps costly to make.
+    df = materialise(df, "texts")
     vocabulary = Vocabulary.of(bag_of_words(df, id, text))
     is_long = F.coalesce(long_texts(F.col(text), limit), F.lit(False))
     long_ones = df.filter(is_long).select(F.col(id).alias("id"), F.col(text).alias("text"))

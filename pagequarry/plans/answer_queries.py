@@ -2,9 +2,12 @@
 
 from __future__ import annotations
 
+import hashlib
+
 from pyspark.sql import functions as F
 
 from pagequarry.operators import prompts, training
+from pagequarry.operators.index import IndexStore
 from pagequarry.operators.answers import answer_from_contexts, answer_questions, attach_columns
 from pagequarry.operators.models import (
     call_model,
@@ -16,8 +19,10 @@ from pagequarry.operators.models import (
 from pagequarry.plans import sql
 from pagequarry.plans.registry import query, table, texts
 from pagequarry.plans.search_queries import _QUESTION_RANKING, asked, document_index, keyword_hits, _keyword_hits
-from pagequarry.plans.training import new_answers, new_questions
-from pagequarry.session import new_folder
+from pagequarry.plans.pages import pages_to_chunks
+from pagequarry.plans.text_queries import _PAGE_CHUNKS, CHUNK_LIMITS
+from pagequarry.plans.training import ask_documents, asked_questions, new_answers, new_questions
+from pagequarry.session import materialise, new_folder
 from pagequarry.sources import tables
 
 
@@ -101,19 +106,19 @@ def stop_sequences(spark, folder):
 
 @query("""
     WITH turns AS (SELECT *, lag(role) OVER (PARTITION BY conv_id ORDER BY turn) AS before FROM conversations)
-    SELECT conv_id, turn // 4 AS part, string_agg(CASE role
+    SELECT conv_id, string_agg(CASE role
         WHEN 'system' THEN '<s>[INST] <<SYS>>' || chr(10) || text || chr(10) || '<</SYS>>' || chr(10) || chr(10)
         WHEN 'user' THEN CASE WHEN before = 'system' THEN '' ELSE '<s>[INST] ' END || text || ' [/INST] '
         ELSE text || ' </s>' END, '' ORDER BY turn) AS prompt
-    FROM turns GROUP BY 1, 2""")
+    FROM turns GROUP BY 1""")
 def conversation_prompts(spark, folder):
-    """Conversations in a chat model's layout, four turns to a part."""
+    """Conversations in a chat model's layout, laid out four turns at a time."""
     return prompts.conversation_prompts(table(spark, folder, "conversations"), part_turns=4)
 
 
 @query("""
-    SELECT conv_id, turn // 1000 AS part, string_agg(role || ': ' || text, chr(10) ORDER BY turn) AS history
-    FROM conversations GROUP BY 1, 2""")
+    SELECT conv_id, string_agg(role || ': ' || text, chr(10) ORDER BY turn) AS history
+    FROM conversations GROUP BY 1""")
 def conversation_history(spark, folder):
     return prompts.conversation_history(table(spark, folder, "conversations"))
 
@@ -124,15 +129,17 @@ def model_replies(spark, folder):
     return turns.select("conv_id", "turn", call_model(F.col("text"), stub_text_model()).alias("reply"))
 
 
+_LINKED = """replace('Reply' || chr(10) || md5(prompt)
+           || coalesce(chr(10) || 'More on this: <a href="' || url || '">open the page</a>', ''), chr(10), '<br/>')"""
+
+
 @query(f"""{_QUESTION_RANKING},
     found AS (SELECT qid, text AS content, 'doc/' || doc_id AS url FROM hits JOIN documents ON doc_id = id
               WHERE rank = 1 AND score > 0.66),
     prompted AS (
         SELECT item_id AS qid, url, {_messages_sql('text', 'content')} AS prompt
         FROM benchmark LEFT JOIN found ON item_id = qid)
-    SELECT qid, prompt, replace('Reply' || chr(10) || md5(prompt)
-           || coalesce(chr(10) || 'More on this: <a href="' || url || '">open the page</a>', ''), chr(10), '<br/>') AS answer
-    FROM prompted""")
+    SELECT qid, prompt, {_LINKED} AS answer FROM prompted""")
 def answered_questions(spark, folder):
     """All questions at once: search, threshold, prompt, model, answer."""
     documents = table(spark, folder, "documents").select(
@@ -143,6 +150,43 @@ def answered_questions(spark, folder):
     )
 
 
+@query(f"""
+    WITH chunks AS ({_PAGE_CHUNKS}), {sql.hashed_vectors('d', 'chunks', 'id', 'content')},
+    {sql.hashed_vectors('q', 'benchmark', 'item_id', 'text')}, {sql.cosine_ranking('hits', 'q', 'd')},
+    found AS (SELECT qid, content, url FROM hits JOIN chunks USING (id) WHERE rank = 1 AND score > 0.3),
+    prompted AS (
+        SELECT item_id AS qid, url, {_messages_sql('text', 'content')} AS prompt
+        FROM benchmark LEFT JOIN found ON item_id = qid)
+    SELECT qid, prompt, {_LINKED} AS answer FROM prompted""")
+def answers_from_pages(spark, folder):
+    """Pages to chunks, to a stored index, to answers that link their page."""
+    chunks = materialise(pages_to_chunks(texts(spark, folder, "pages"), **CHUNK_LIMITS), "chunks")
+    store = IndexStore(spark, new_folder(spark, "page-index"))
+    store.build(chunks, "id", "content", hashed_words(64), "hashed-64")
+    return answer_questions(
+        asked(spark, folder), store.load("hashed-64"), chunks, hashed_words(64), stub_chat_model(), threshold=0.3
+    )
+
+
+@query("""
+    WITH numbered AS (SELECT *, max(turn) OVER (PARTITION BY conv_id) AS final FROM conversations),
+    earlier AS (
+        SELECT conv_id, list({'role': role, 'content': text} ORDER BY turn) AS history
+        FROM numbered WHERE turn < final GROUP BY 1)
+    SELECT n.conv_id AS qid, CAST(to_json(list_concat(list_concat([{'role': 'system', 'content': """ + sql.quoted(prompts.SYSTEM_TEXT) + """}],
+               coalesce(history, [])), [{'role': 'user', 'content': """ + sql.filled(prompts.USER_TEMPLATE, question="n.text") + """}])) AS VARCHAR) AS messages
+    FROM numbered n LEFT JOIN earlier e ON e.conv_id = n.conv_id WHERE turn = final""")
+def follow_up_messages(spark, folder):
+    """The last turn of each conversation asked again, after the turns before it."""
+    turns = table(spark, folder, "conversations")
+    entry = F.struct("turn", "role", F.col("text").alias("content"))
+    grouped = turns.groupBy("conv_id").agg(F.array_sort(F.collect_list(entry)).alias("turns"))
+    history = F.transform(F.slice("turns", 1, F.size("turns") - 1), lambda t: F.struct(t["role"], t["content"]))
+    question = F.element_at("turns", -1)["content"]
+    messages = prompts.chat_messages(question, F.lit(None).cast("string"), history=history)
+    return grouped.select(F.col("conv_id").alias("qid"), F.to_json(messages).alias("messages"))
+
+
 @query(f"""{_QUESTION_RANKING},
     top AS (SELECT qid, rank, text AS content FROM hits JOIN documents ON doc_id = id WHERE rank <= 2),
     grouped AS (
@@ -241,19 +285,49 @@ def question_page(spark, folder):
     WITH {_QUESTIONS}
     SELECT doc_id, question_no, question, 'Reply ' || md5({_PAIR}) AS answer FROM questions""")
 def training_pairs(spark, folder):
-    """Documents to questions to answers; answering is done in two runs."""
+    """Documents to questions to answers; asking is done in two runs, no document twice."""
     documents = texts(spark, folder, "documents").select("doc_id", "text", "lang")
-    questions, answers = new_folder(spark, "questions"), new_folder(spark, "answers")
-    for run, part in ((1, documents.filter(F.col("lang") == "en")), (2, documents)):
-        done = tables.VersionedTable(spark, questions)
-        known = spark.read.parquet(f"{questions}/run=1") if run == 2 else None
-        todo = part if known is None else part.join(known.select("doc_id").distinct(), "doc_id", "left_anti")
-        tables.append_run(new_questions(todo, "doc_id", "text", stub_question_model()), done.folder, run)
-    written = spark.read.parquet(questions).drop("run")
-    new_answers(written, documents.select("doc_id", "text"), answers, 1, stub_text_model())
+    replies, answers = new_folder(spark, "replies"), new_folder(spark, "answers")
+    ask_documents(documents.filter(F.col("lang") == "en"), replies, 1, stub_question_model())
+    ask_documents(documents, replies, 2, stub_question_model())
+    new_answers(asked_questions(spark, replies), documents.select("doc_id", "text"), answers, 1, stub_text_model())
     return spark.read.parquet(answers).select("doc_id", "question_no", "question", "answer")
 
 
+def failing_text_model():
+    """The stand-in completion model, failing at prompts whose MD5 starts below 8."""
+
+    def factory():
+        answer = stub_text_model()()
+
+        def run(batch):
+            if any(hashlib.md5(prompt.encode()).hexdigest()[0] < "8" for prompt in batch):
+                raise RuntimeError("no reply")
+            return answer(batch)
+
+        return run
+
+    return factory
+
+
+@query(f"""
+    WITH {_QUESTIONS},
+    paired AS (SELECT doc_id, question_no, question, md5({_PAIR}) AS h FROM questions),
+    runs AS (SELECT *, unnest(CASE WHEN h < '8' THEN [1, 2] ELSE [1] END)::INTEGER AS run FROM paired)
+    SELECT doc_id, question_no, question, run, CASE WHEN h >= '8' OR run = 2 THEN 'Reply ' || h END AS answer,
+           CASE WHEN h < '8' AND run = 1 THEN 'RuntimeError: no reply' END AS error
+    FROM runs""")
+def answers_after_errors(spark, folder):
+    """Some prompts fail in the first run; the second takes only those."""
+    documents = texts(spark, folder, "documents").select("doc_id", "text")
+    replies, answers = new_folder(spark, "replies"), new_folder(spark, "answers")
+    ask_documents(documents, replies, 1, stub_question_model())
+    questions = asked_questions(spark, replies)
+    for run, model in ((1, failing_text_model()), (2, stub_text_model())):
+        new_answers(questions, documents, answers, run, model)
+    return spark.read.parquet(answers).select("doc_id", "question_no", "question", "run", "answer", "error")
+
+
 @query(f"""
     WITH {_QUESTIONS}
     SELECT doc_id, prompt, asked[1] AS first_question, len(asked)::BIGINT AS questions FROM (

@@ -24,13 +24,17 @@ def pages_to_chunks(
     tag: str = "h2",
     content: Column | None = None,
     tokenizer=None,
+    keep_tail: bool = False,
+    keep_all: bool = False,
 ) -> DataFrame:
     """``id, url, title, content`` from ``page_id, url, html``; one narrow stage, no shuffle.
 
-    With ``tokenizer`` tokens are counted in Python, otherwise natively.
+    With ``tokenizer`` tokens are counted in Python, otherwise natively. Short
+    tails go unless ``keep_tail``; ``keep_all`` loses neither them nor what
+    exceeds a chunk's length.
     """
     body = raw_pages(pages.withColumn("url", F.struct("page_id", "url")), content).select("url.page_id", "url.url", "text")
-    limits = {"max_tokens": max_tokens, "min_tokens": min_tokens, "tag": tag}
+    limits = {"max_tokens": max_tokens, "min_tokens": min_tokens, "tag": tag, "keep_tail": keep_tail, "keep_all": keep_all}
     text = F.col("text")
     chunks = page_chunks(text, **limits) if tokenizer is None else page_chunks_with(text, tokenizer, **limits)
     titled = body.select("page_id", "url", page_title(text).alias("title"), chunks.alias("chunks"))

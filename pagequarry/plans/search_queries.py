@@ -2,10 +2,12 @@
 
 from __future__ import annotations
 
+import numpy as np
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from pagequarry.functions.text import STOP_WORDS, explode_rows
+from pagequarry.functions.vectors import vector_sum
 from pagequarry.operators import ranking, terms
 from pagequarry.operators.answers import apply_threshold, attach_columns, embed_questions
 from pagequarry.operators.index import (
@@ -19,7 +21,7 @@ from pagequarry.operators.index import (
 from pagequarry.operators.models import embed, hashed_words
 from pagequarry.plans import sql
 from pagequarry.plans.registry import query, table, texts
-from pagequarry.session import new_folder
+from pagequarry.session import materialise, new_folder
 from pagequarry.streaming.index_sync import IndexSync
 
 
@@ -66,20 +68,23 @@ def bags_of_words(spark, folder):
     WITH {sql.frequencies('c', 'documents', 'doc_id', 'text')}, {sql.tfidf('t', 'documents', 'doc_id', 'text', 'c')}
     SELECT id, term, round(w, 6) AS weight FROM t""")
 def term_weights(spark, folder):
-    bags = terms.bag_of_words(texts(spark, folder, "documents"), "doc_id", "text")
+    bags = materialise(terms.bag_of_words(texts(spark, folder, "documents"), "doc_id", "text"), "bags-of-words")
     vectors = terms.tfidf_vectors(bags, terms.Vocabulary.of(bags))
     return explode_rows(vectors, F.col("vector"), "_", "t").select(
         "id", "t.term", F.round("t.weight", 6).alias("weight")
     )
 
 
-@query("""
-    SELECT page_id AS id, url, md5(coalesce(html, '')) AS content_hash, 'hashed-64' AS model_id, 64::BIGINT AS dimension
-    FROM pages""")
+@query(f"""
+    WITH {sql.vector_sums('t', 'pages', 'page_id', 'html')}
+    SELECT page_id AS id, url, md5(coalesce(html, '')) AS content_hash, 'hashed-64' AS model_id, 64::BIGINT AS dimension,
+           coalesce(total, 0) AS total
+    FROM pages LEFT JOIN t ON id = page_id""")
 def built_index(spark, folder):
     pages = refuse_duplicates(texts(spark, folder, "pages"), "page_id")
     rows = index_rows(pages, "page_id", "html", hashed_words(64), "hashed-64", ("url",))
-    return rows.select("id", "url", "content_hash", "model_id", F.size("vector").cast("bigint").alias("dimension"))
+    dimension = F.size("vector").cast("bigint").alias("dimension")
+    return rows.select("id", "url", "content_hash", "model_id", dimension, vector_sum(F.col("vector")).alias("total"))
 
 
 @query("""
@@ -137,13 +142,17 @@ def sync_documents(spark, folder):
     return sync
 
 
-@query("""
-    SELECT doc_id AS id, CASE WHEN source IN ('src3', 'src7') THEN 2 WHEN lang = 'es' THEN 1 ELSE 0 END::BIGINT AS version,
-           md5(CASE source WHEN 'src3' THEN text || ' revised' ELSE text END) AS content_hash
-    FROM documents WHERE source <> 'src5'""")
+@query(f"""
+    WITH state AS (
+        SELECT doc_id, CASE WHEN source IN ('src3', 'src7') THEN 2 WHEN lang = 'es' THEN 1 ELSE 0 END::BIGINT AS version,
+               CASE source WHEN 'src3' THEN text || ' revised' ELSE text END AS text
+        FROM documents WHERE source <> 'src5'), {sql.vector_sums('t', 'state', 'doc_id', 'text')}
+    SELECT doc_id AS id, version, md5(text) AS content_hash, coalesce(total, 0) AS total
+    FROM state LEFT JOIN t ON id = doc_id""")
 def synced_index(spark, folder):
     """State after inserts, updates, late versions, unchanged texts and deletes arrived as a stream."""
-    return sync_documents(spark, folder).read().select("id", "version", "content_hash")
+    current = sync_documents(spark, folder).read()
+    return current.select("id", "version", "content_hash", vector_sum(F.col("vector")).alias("total"))
 
 
 @query("""
@@ -196,6 +205,27 @@ def nearest_vectors_in_blocks(spark, folder):
     return ranking.without_self(hits, 3)
 
 
+_SCALED_HITS = _l2_hits(3).replace("FROM embeddings q JOIN embeddings d", """
+        FROM (SELECT vec_id, list_transform(embedding, lambda x: x * 1000) AS embedding FROM embeddings) q
+        JOIN (SELECT vec_id, list_transform(embedding, lambda x: x * 1000) AS embedding FROM embeddings) d""")
+
+
+def _scaled_hits(spark, folder, **blocks):
+    index = vector_index(spark, folder).withColumn("vector", F.transform("vector", lambda x: (x * 1000).cast("float")))
+    return ranking.without_self(ranking.nearest(self_questions(index), index, 4, **blocks), 3)
+
+
+@query(_SCALED_HITS)
+def nearest_scaled_vectors(spark, folder):
+    """Vectors a thousand times as long, whose scores are all near zero."""
+    return _scaled_hits(spark, folder)
+
+
+@query(_SCALED_HITS)
+def nearest_scaled_vectors_in_blocks(spark, folder):
+    return _scaled_hits(spark, folder, max_questions=100, question_block=512, index_block=512)
+
+
 @query(_l2_hits(2, columns="qid, rank, id, (SELECT label FROM embeddings e WHERE e.vec_id = ranked.id) AS label, score"))
 def hits_with_columns(spark, folder):
     index = vector_index(spark, folder)
@@ -262,12 +292,40 @@ def question_search(spark, folder):
     return ranking.nearest(questions, document_index(spark, folder), 3, ranking.Dense("cosine"))
 
 
+_DISTANCE = "list_distance({a}.embedding::DOUBLE[], {b}.embedding::DOUBLE[])"
+
+
+@query(f"""
+    WITH centres AS (
+        SELECT row_number() OVER (ORDER BY label) AS cell, embedding FROM (
+            SELECT label, arg_min(embedding, vec_id) AS embedding FROM embeddings GROUP BY label)),
+    placed AS (
+        SELECT vec_id, cell, row_number() OVER (
+            PARTITION BY vec_id ORDER BY {_DISTANCE.format(a='e', b='c')}, cell) AS place
+        FROM embeddings e, centres c),
+    scores AS (
+        SELECT q.vec_id AS qid, d.vec_id AS id,
+               {sql.significant(f"(1 / (1 + power({_DISTANCE.format(a='q', b='d')}, 2)))")} AS score
+        FROM placed a JOIN placed b ON a.cell = b.cell AND a.place <= 4 AND b.place = 1 AND a.vec_id <> b.vec_id
+        JOIN embeddings q ON q.vec_id = a.vec_id JOIN embeddings d ON d.vec_id = b.vec_id)
+    SELECT qid, rank, id, score FROM (
+        SELECT *, row_number() OVER (PARTITION BY qid ORDER BY score DESC, id) AS rank FROM scores) WHERE rank <= 3""")
+def approximate_search_by_label_centres(spark, folder):
+    """Nearest vectors among four cells, around the first vector of each label."""
+    index = vector_index(spark, folder)
+    firsts = index.groupBy("label").agg(F.min_by("vector", "id").alias("vector")).orderBy("label")
+    # One row per label, of which there are ten.
+    centroids = np.array([row.vector for row in firsts.select("vector").toLocalIterator()])
+    cells = materialise(ranking.assign_cells(index.select("id", "vector"), centroids), "celled-index")
+    return ranking.without_self(ranking.approximate_nearest(self_questions(index), cells, centroids, 4, probes=4), 3)
+
+
 @query()
 def approximate_search(spark, folder):
     """Nearest vectors among half of the cells; no SQL, as the cells come from k-means."""
     index = vector_index(spark, folder).select("id", "vector")
     centroids = ranking.train_centroids(index, 8)
-    cells = ranking.assign_cells(index, centroids)
+    cells = materialise(ranking.assign_cells(index, centroids), "celled-index")
     return ranking.without_self(ranking.approximate_nearest(self_questions(index), cells, centroids, 4, probes=4), 3)
 
 
@@ -276,5 +334,5 @@ def approximate_search_of_all_cells(spark, folder):
     """Probing every cell is exact."""
     index = vector_index(spark, folder).select("id", "vector")
     centroids = ranking.train_centroids(index, 8)
-    cells = ranking.assign_cells(index, centroids)
+    cells = materialise(ranking.assign_cells(index, centroids), "celled-index")
     return ranking.without_self(ranking.approximate_nearest(self_questions(index), cells, centroids, 4, probes=8), 3)

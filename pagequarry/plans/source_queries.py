@@ -4,11 +4,13 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
+from pagequarry.functions.vectors import vector_sum
 from pagequarry.operators.chunking import chunk_id, explode_chunks, paragraphs
 from pagequarry.operators.index import IndexStore
 from pagequarry.operators.keys import dense_ids
 from pagequarry.operators.memos import HEADERS, raw_memos
 from pagequarry.operators.models import hashed_words
+from pagequarry.plans import sql
 from pagequarry.plans.registry import query, table, texts
 from pagequarry.plans.sql import article
 from pagequarry.session import new_folder
@@ -116,7 +118,10 @@ def dense_row_ids(spark, folder):
     return dense_ids(table(spark, folder, "documents").select("lang", "doc_id"), "lang", "doc_id", partitions=32)
 
 
-@query("SELECT doc_id AS id, source, md5(text) AS content_hash, 64::BIGINT AS dimension FROM documents")
+@query(f"""
+    WITH {sql.vector_sums('t', 'documents', 'doc_id', 'text')}
+    SELECT doc_id AS id, source, md5(text) AS content_hash, 64::BIGINT AS dimension, coalesce(total, 0) AS total
+    FROM documents LEFT JOIN t ON id = doc_id""")
 def stored_index(spark, folder):
     """Index snapshot written and loaded again; the second build finds it and does nothing."""
     store = IndexStore(spark, new_folder(spark, "index"))
@@ -124,7 +129,8 @@ def stored_index(spark, folder):
     for _ in range(2):
         store.build(documents, "doc_id", "text", hashed_words(64), "hashed-64", ("source",))
     index = store.load("hashed-64")
-    return index.select("id", "source", "content_hash", F.size("vector").cast("bigint").alias("dimension"))
+    dimension = F.size("vector").cast("bigint").alias("dimension")
+    return index.select("id", "source", "content_hash", dimension, vector_sum(F.col("vector")).alias("total"))
 
 
 @query("SELECT doc_id, lang, source FROM documents ORDER BY doc_id LIMIT 2")

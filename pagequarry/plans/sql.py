@@ -95,6 +95,12 @@ def hashed_vectors(name: str, source: str, id: str, text: str, dimension: int =
         FROM {name}_counts JOIN {name}_norms USING (id) WHERE c <> 0)"""
 
 
+def vector_sums(name: str, source: str, id: str, text: str) -> str:
+    """CTEs ending in ``name (id, total)``: :func:`hashed_vectors` weighed by position; texts without words have none."""
+    return f"""{hashed_vectors(name + '_v', source, id, text)},
+    {name} AS (SELECT id, round(sum(w * (dim + 1)), 6) AS total FROM {name}_v GROUP BY id)"""
+
+
 def cosine_ranking(name: str, questions: str, index: str) -> str:
     """CTEs ending in ``name (qid, rank, id, score)`` over two tables ``(id, dim, w)``."""
     return f"""

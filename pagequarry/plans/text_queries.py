@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from pagequarry.functions import html, text
+from pagequarry.functions.vectors import vector_sum
 from pagequarry.operators import chunking, memos
 from pagequarry.operators.models import hashed_words, stub_text_model, summarise_with
 from pagequarry.operators.prompts import answer_html
@@ -40,15 +41,18 @@ def memo_silver(spark, folder):
 
 
 @query(f"""
-    SELECT 'memo/' || doc_id AS id, md5({sql.replace_all('text', text.SYMBOL_PATTERN, ' ')}) AS content_hash,
-           64::BIGINT AS dimension FROM documents""")
+    WITH cleaned AS (SELECT doc_id, {sql.replace_all('text', text.SYMBOL_PATTERN, ' ')} AS text FROM documents),
+    {sql.vector_sums('t', 'cleaned', 'doc_id', 'text')}
+    SELECT 'memo/' || doc_id AS id, md5(text) AS content_hash, 64::BIGINT AS dimension, coalesce(total, 0) AS total
+    FROM cleaned LEFT JOIN t ON id = doc_id""")
 def memo_index(spark, folder):
     """Export to stored vector index."""
     store = memos_to_index(
         spark, memo_export(spark, folder), new_folder(spark, "memos"), hashed_words(64), "hashed-64"
     )
     index = store.load("hashed-64")
-    return index.select("id", "content_hash", F.size("vector").cast("bigint").alias("dimension"))
+    dimension = F.size("vector").cast("bigint").alias("dimension")
+    return index.select("id", "content_hash", dimension, vector_sum(F.col("vector")).alias("total"))
 
 
 @query("""
@@ -235,6 +239,28 @@ def page_chunks_tokenizer(spark, folder):
     return pages_to_chunks(texts(spark, folder, "pages"), tokenizer=chunking.RegexTokenizer, **CHUNK_LIMITS)
 
 
+_PIECES = sql.pieces(sql.collapse("c"))
+_WHOLE_CHUNKS = (
+    _PAGE_CHUNKS.replace("> 10 THEN list_append", "> 0 THEN list_append")
+    .replace(f"list_transform(chunks, lambda c: {sql.collapse('c')})", f"""flatten(list_transform(chunks, lambda c:
+            list_transform(range(0, len({_PIECES}), 100), lambda i: array_to_string(list_slice({_PIECES}, i + 1, i + 100), ''))))""")
+    .replace(sql.truncated("content", 100), "content")
+)
+
+
+@query(_WHOLE_CHUNKS)
+def whole_page_chunks(spark, folder):
+    """Chunks that lose nothing: tails stay and long sections go on in further chunks."""
+    return pages_to_chunks(texts(spark, folder, "pages"), keep_all=True, **CHUNK_LIMITS)
+
+
+@query(_WHOLE_CHUNKS)
+def whole_page_chunks_tokenizer(spark, folder):
+    return pages_to_chunks(
+        texts(spark, folder, "pages"), tokenizer=chunking.RegexTokenizer, keep_all=True, **CHUNK_LIMITS
+    )
+
+
 @query("""
     SELECT doc_id, chunk_no, paragraphs[chunk_no + 1] AS content FROM (
         SELECT doc_id, paragraphs, unnest(range(len(paragraphs))) AS chunk_no FROM (

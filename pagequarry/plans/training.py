@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from pagequarry.functions.text import strip
-from pagequarry.operators.models import TextModel, call_model
+from pagequarry.operators.models import TextModel, call_model, try_model
 from pagequarry.operators.prompts import generated_text
 from pagequarry.operators.training import (
     QUESTION_TEMPLATE,
@@ -26,20 +26,42 @@ def new_questions(documents: DataFrame, doc_id: str, text: str, model: TextModel
     return question_rows(replied, doc_id, parse_questions(F.col("reply")))
 
 
+def _unfinished(work: DataFrame, folder: str, run: int, *keys: str) -> DataFrame:
+    """Rows of ``work`` that no run but ``run`` has finished without an error."""
+    spark = work.sparkSession
+    if not list_numbers(spark, folder, "run="):
+        return work
+    return pending(work, spark.read.parquet(folder).filter((F.col("run") != run) & F.col("error").isNull()), *keys)
+
+
+def ask_documents(documents: DataFrame, folder: str, run: int, model: TextModel) -> None:
+    """Ask about the documents (doc_id, text) without a reply in ``folder``; adds ``doc_id, reply, error`` as ``run``.
+
+    Every document asked is recorded, so one without usable questions is not asked again; one that failed is.
+    """
+    todo = _unfinished(documents, folder, run, "doc_id")
+    outcome = todo.select("doc_id", try_model(question_prompt(F.col("text")), model).alias("outcome"))
+    append_run(outcome.select("doc_id", "outcome.reply", "outcome.error"), folder, run)
+
+
+def asked_questions(spark: SparkSession, folder: str) -> DataFrame:
+    """``doc_id, question_no, question`` of all replies in ``folder``."""
+    replies = spark.read.parquet(folder).filter("error IS NULL")
+    return question_rows(replies, "doc_id", parse_questions(F.col("reply")))
+
+
 def new_answers(questions: DataFrame, documents: DataFrame, folder: str, run: int, model: TextModel) -> None:
     """Answer the questions without an answer in ``folder`` and add them as ``run``.
 
-    ``documents`` has ``doc_id, text``. The model repeats its prompt before the answer.
+    ``documents`` has ``doc_id, text``. The model repeats its prompt before the
+    answer. A prompt that fails gets a row with its ``error`` and stays pending.
     """
-    spark = questions.sparkSession
-    if list_numbers(spark, folder, "run="):
-        earlier = spark.read.parquet(folder).filter(F.col("run") != run)
-        questions = pending(questions, earlier, "doc_id", "question_no")
+    questions = _unfinished(questions, folder, run, "doc_id", "question_no")
     joined = with_documents(questions, documents, "doc_id", spread_by="question_no")
     prompted = joined.withColumn("prompt", answer_prompt(F.col("text"), F.col("question")))
-    replied = prompted.withColumn("output", call_model(F.col("prompt"), model))
-    answer = strip(generated_text(F.lit("text-generation"), F.col("output"), F.col("prompt")))
-    append_run(replied.select("doc_id", "question_no", "question", answer.alias("answer")), folder, run)
+    replied = prompted.withColumn("outcome", try_model(F.col("prompt"), model))
+    answer = strip(generated_text(F.lit("text-generation"), F.col("outcome.reply"), F.col("prompt")))
+    append_run(replied.select("doc_id", "question_no", "question", answer.alias("answer"), "outcome.error"), folder, run)
 
 
 def define_sql_functions(spark: SparkSession) -> None:

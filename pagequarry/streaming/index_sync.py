@@ -49,6 +49,10 @@ class IndexSync:
                 return number
         return 0
 
+    def _next_generation(self) -> int:
+        """Above every generation begun, so one that broke off half-way is left aside."""
+        return max(list_numbers(self.spark, self.folder, "gen="), default=0) + 1
+
     def _snapshot_path(self, generation: int) -> str:
         return f"{self.folder}/gen={generation}/snapshot"
 
@@ -73,7 +77,7 @@ class IndexSync:
             F.lit(version).cast("bigint").alias("version"),
             F.lit(False).alias("deleted"),
         )
-        self._write_snapshot(rows, self.generation() + 1)
+        self._write_snapshot(rows, self._next_generation())
 
     def _log(self, generation: int, but_batch: int | None = None) -> DataFrame | None:
         path = self._log_path(generation)
@@ -103,11 +107,14 @@ class IndexSync:
     # ---- changes ----
 
     def apply_batch(self, changes: DataFrame, batch_id: int) -> None:
-        """Write the entries one micro-batch leads to; text that did not change is not embedded again."""
-        changes = changes.select("id", "text", "version", "deleted")
-        newest = self._with_shard(newest_per_key(changes, "id", "version")).withColumn(
+        """Write the entries one micro-batch leads to; text that did not change is not embedded again.
+
+        Of changes with the same key and version a deletion wins, then the greatest content hash.
+        """
+        changes = changes.select("id", "text", "version", "deleted").withColumn(
             "new_hash", F.when(~F.col("deleted"), content_hash(F.col("text")))
         )
+        newest = self._with_shard(newest_per_key(changes, "id", "version", "deleted", "new_hash"))
         newest.persist()
         try:
             # At most ``self.shards`` numbers; they prune the folders to read.
@@ -145,6 +152,6 @@ class IndexSync:
 
         Deleted keys stay as markers, so a late older version cannot revive them.
         """
-        generation = self.generation()
-        self._write_snapshot(self.entries(), generation + 1)
-        return generation + 1
+        generation = self._next_generation()
+        self._write_snapshot(self.entries(), generation)
+        return generation

@@ -4,8 +4,8 @@ import pytest
 from pyspark.sql import functions as F
 
 from pagequarry.operators import prompts, training
-from pagequarry.operators.models import call_model, stub_question_model
-from pagequarry.plans.training import define_sql_functions, new_answers, new_questions
+from pagequarry.operators.models import call_model, stub_question_model, try_model
+from pagequarry.plans.training import ask_documents, asked_questions, define_sql_functions, new_answers, new_questions
 
 
 def test_template_does_not_expand_values(spark):
@@ -61,14 +61,44 @@ WHOLE = {1: "<s>[INST] <<SYS>>\nS\n<</SYS>>\n\nU1 [/INST] A1 </s><s>[INST] U2 [/
 @pytest.mark.parametrize("part_turns", [1, 2, 3, 1000])
 def test_conversations_do_not_depend_on_part_size(spark, part_turns):
     df = spark.createDataFrame(TURNS, "conv_id bigint, turn bigint, role string, text string")
-    parts = prompts.conversation_prompts(df, part_turns=part_turns).orderBy("conv_id", "part").collect()
-    whole = {}
-    for row in parts:
-        whole[row.conv_id] = whole.get(row.conv_id, "") + row.prompt
-    assert whole == WHOLE
-    assert max(r.part for r in parts) == 3 // part_turns
-    history = prompts.conversation_history(df, part_turns=2).orderBy("conv_id", "part").collect()
-    assert [r.history for r in history] == ["system: S\nuser: U1", "assistant: A1\nuser: U2", "user: V1\nassistant: B1"]
+    laid_out = prompts.conversation_prompts(df, part_turns=part_turns).collect()
+    assert len(laid_out) == 2 and {r.conv_id: r.prompt for r in laid_out} == WHOLE
+    history = prompts.conversation_history(df, part_turns=part_turns).orderBy("conv_id").collect()
+    assert [r.history for r in history] == ["system: S\nuser: U1\nassistant: A1\nuser: U2", "user: V1\nassistant: B1"]
+
+
+def test_a_long_conversation_is_one_prompt(spark):
+    turns = spark.range(1500).selectExpr("1L AS conv_id", "id AS turn", "if(id % 2 = 0, 'user', 'assistant') AS role", "cast(id AS string) AS text")
+    expected = "".join(f"<s>[INST] {i} [/INST] " if i % 2 == 0 else f"{i} </s>" for i in range(1500))
+    assert [tuple(r) for r in prompts.conversation_prompts(turns).collect()] == [(1, expected)]
+
+
+def test_a_failing_prompt_leaves_the_others_their_replies(spark):
+    def model():
+        def run(batch):
+            if "bad" in batch:
+                raise KeyError("bad")
+            return [text + "!" for text in batch]
+
+        return run
+
+    df = spark.createDataFrame([("a",), ("bad",), (None,), ("c",)], "t string").coalesce(1)
+    rows = df.select("t", try_model(F.col("t"), model).alias("o")).select("t", "o.*").collect()
+    assert {r.t: (r.reply, r.error) for r in rows} == {
+        "a": ("a!", None), "bad": (None, "KeyError: 'bad'"), None: (None, None), "c": ("c!", None)
+    }
+    short = spark.createDataFrame([("a",), ("b",)], "t string").coalesce(1)
+    outcomes = short.select(try_model(F.col("t"), lambda: lambda batch: []).alias("o")).select("o.*").collect()
+    assert all(r.reply is None and r.error == "ValueError: 0 replies to 1 prompts" for r in outcomes)
+
+
+def test_documents_without_usable_questions_are_asked_once(spark, tmp_path):
+    docs = spark.createDataFrame([(i, f"text {i}") for i in range(20)], "doc_id bigint, text string")
+    folder = str(tmp_path / "replies")
+    ask_documents(docs.filter("doc_id < 12"), folder, 1, lambda: lambda batch: ["no questions"] * len(batch))
+    ask_documents(docs, folder, 2, stub_question_model())
+    runs = {r.run: r.n for r in spark.read.parquet(folder).groupBy("run").agg(F.count("*").alias("n")).collect()}
+    assert runs == {1: 12, 2: 8} and asked_questions(spark, folder).filter("doc_id < 12").isEmpty()
 
 
 def test_parse_questions(spark):

@@ -1,3 +1,5 @@
+import json
+
 import numpy as np
 import pytest
 from pyspark.sql import functions as F
@@ -13,7 +15,7 @@ def frame(spark, vectors, name):
     return spark.createDataFrame([(i, [float(x) for x in v]) for i, v in enumerate(vectors)], f"{name} bigint, vector array<float>")
 
 
-def brute(questions, vectors, k, metric):
+def brute(questions, vectors, k, metric, digits=6):
     out = []
     for qid, q in enumerate(questions.astype(np.float32).astype(float)):
         scored = []
@@ -22,7 +24,7 @@ def brute(questions, vectors, k, metric):
                 s = 1 / (1 + ((q - v) ** 2).sum())
             else:
                 s = q @ v / (np.sqrt(q @ q * (v @ v)) if metric == "cosine" else 1)
-            scored.append((-round(s, 6), i))
+            scored.append((-round(s, digits), i))
         out += [(qid, n, i) for n, (_, i) in enumerate(sorted(scored)[:k], 1)]
     return out
 
@@ -161,6 +163,29 @@ def test_answers(spark):
     assert "href" not in rows[2].answer and "pasta" not in rows[2].prompt
 
 
+def test_follow_up_questions_carry_their_history(spark):
+    docs = spark.createDataFrame([(1, "red fox", "u")], "id bigint, content string, url string")
+    index = docs.select("id", embed(F.col("content"), hashed_words(64)).alias("vector"))
+    questions = spark.createDataFrame(
+        [(1, "and the fox?", [("user", "hello"), ("assistant", "hi")]), (2, "what?", None)],
+        "qid bigint, question string, earlier array<struct<role string, content string>>",
+    )
+    found = answer_questions(questions, index, docs, hashed_words(64), stub_chat_model(), history="earlier").collect()
+    roles = {r.qid: [m["role"] for m in json.loads(r.prompt)] for r in found}
+    assert roles == {1: ["system", "user", "assistant", "user"], 2: ["system", "user"]}
+
+
+@pytest.mark.parametrize("metric", ["l2", "cosine", "dot"])
+def test_recall_on_long_vectors(spark, metric):
+    random = np.random.default_rng(11)
+    vectors = random.integers(0, 256, (400, 32)).astype(float)
+    q, index = frame(spark, vectors[:20], "qid"), frame(spark, vectors, "id")
+    exact = brute(vectors[:20], vectors, 10, metric, digits=15)
+    for limit in (4096, 1):
+        hits = ranking.nearest(q, index, 10, ranking.Dense(metric), max_questions=limit, question_block=7, index_block=90)
+        assert set(hits_of(hits)) == set(exact)
+
+
 def test_score_ties_go_to_the_lower_id(spark):
     q = frame(spark, [[1, 0]], "qid")
     index = frame(spark, [[0, 1]] + [[1, 0]] * 50, "id").repartition(4)

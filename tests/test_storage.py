@@ -208,6 +208,21 @@ def test_unchanged_text_is_not_embedded_again(spark, tmp_path):
     assert [(r.id, r.version) for r in made.read().collect()] == [(1, 3)]
 
 
+def test_a_generation_that_broke_off_is_left_aside(spark, sync):
+    before = state(sync)
+    spark.range(1).write.parquet(f"{sync.folder}/gen=2/snapshot/shard=0")
+    assert sync.generation() == 1 and state(sync) == before
+    assert sync.compact() == 3 and sync.generation() == 3 and state(sync) == before
+
+
+def test_equal_versions_have_one_outcome(spark, sync):
+    both = [(1, "b", 2, False), (1, "a", 2, False), (2, "x", 2, False), (2, None, 2, True)]
+    sync.apply_batch(spark.createDataFrame(both, CHANGES).repartition(4), 0)
+    first = state(sync)
+    sync.apply_batch(spark.createDataFrame(both[::-1], CHANGES).coalesce(1), 0)
+    assert state(sync) == first and sync.read().filter("id = 2").isEmpty()
+
+
 def test_stream(spark, sync, tmp_path):
     incoming = str(tmp_path / "incoming")
     for batch in BATCHES:
