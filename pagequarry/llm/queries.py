@@ -87,6 +87,14 @@ def op10_loss_difference(spark: SparkSession, folder: str) -> DataFrame:
     return score(documents, learn(documents, good)).withColumn("difference", F.round("difference", 6))
 
 
+@query(sql.LOSS_DIFFERENCE_EVERY_WORD)
+def op10_loss_difference_every_word(spark: SparkSession, folder: str) -> DataFrame:
+    from pagequarry.llm.lm_scoring import score_by_every_word
+
+    good = table(spark, folder, "labels").filter("quality = 1")
+    return score_by_every_word(table(spark, folder, "documents"), good).withColumn("difference", F.round("difference", 6))
+
+
 @query()
 def op2_soft_mixing(spark: SparkSession, folder: str) -> DataFrame:
     from pagequarry.llm.mixing import mixing_rates

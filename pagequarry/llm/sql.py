@@ -105,6 +105,27 @@ SELECT doc_id, CAST(coalesce(n, 0) AS BIGINT) AS n_tokens, round(coalesce(x, 0.0
 FROM documents LEFT JOIN s USING (doc_id)
 """
 
+LOSS_DIFFERENCE_EVERY_WORD = r"""
+WITH d AS (
+  SELECT doc_id, coalesce(doc_id IN (SELECT doc_id FROM labels WHERE quality = 1), false) AS target, regexp_extract_all(
+    translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x20\x09-\x0D]+') AS words
+  FROM documents
+), t AS (SELECT doc_id, target, 'word ' || unnest(words) AS w, unnest(range(len(words))) AS p FROM d),
+b AS (SELECT doc_id, target, w, coalesce(lag(w) OVER (PARTITION BY doc_id ORDER BY p), 'boundary') AS c FROM t),
+pairs AS (SELECT c, w, count(*) AS nb, count(*) FILTER (WHERE target) AS nt FROM b GROUP BY 1, 2),
+cs AS (SELECT c, sum(nb) AS cb, sum(nt) AS ct FROM pairs GROUP BY 1),
+ws AS (SELECT w, sum(nb) AS wb, sum(nt) AS wt FROM pairs GROUP BY 1),
+z AS (SELECT sum(wb) AS zb, sum(wt) AS zt, count(*) AS v FROM ws),
+x AS (
+  SELECT c, w,
+    -ln(0.7 * CASE WHEN ct > 0 THEN nt / ct WHEN zt > 0 THEN wt / zt ELSE 0 END + 0.25 * CASE WHEN zt > 0 THEN wt / zt ELSE 0 END + 0.05 / v)
+    + ln(0.7 * nb / cb + 0.25 * wb / zb + 0.05 / v) AS x
+  FROM pairs JOIN cs USING (c) JOIN ws USING (w) CROSS JOIN z
+), s AS (SELECT doc_id, count(*) AS n, avg(x) AS x FROM b JOIN x USING (c, w) GROUP BY 1)
+SELECT doc_id, CAST(coalesce(n, 0) AS BIGINT) AS n_tokens, round(coalesce(x, 0.0), 6) AS difference
+FROM documents LEFT JOIN s USING (doc_id)
+"""
+
 PREFERENCES = r"""
 WITH c AS (SELECT conv_id AS pair_id, turn, coalesce(role, '') AS role, coalesce(text, '') AS text FROM conversations),
 ends AS (SELECT pair_id, max(turn) AS last FROM c WHERE role = 'assistant' GROUP BY 1),

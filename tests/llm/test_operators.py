@@ -429,3 +429,21 @@ def test_every_context_sums_to_one():
     counts[7] = 0
     chances = np.exp(-lm_scoring.losses(counts))[:, :lm_scoring.BOUNDARY].sum(axis=1)
     assert np.allclose(chances, 1)
+
+
+def test_words_outside_a_fixed_list_tell_texts_apart(spark, monkeypatch):
+    """Four words, rarer per text than 1,022 others: texts of such words alone score by which words they are."""
+    common = " ".join(f"c{k}" for k in range(1022))
+    rows = [(k, common) for k in range(9)] + [(10, "sun sea " * 2), (11, "sun sea " * 2), (20, "tax fee " * 2), (None, "tax fee " * 2), (30, None), (31, " ")]
+    target = spark.createDataFrame([(10,), (None,)], "doc_id bigint")
+    listed = {r.doc_id: r.difference for r in lm_scoring.score(frame(spark, rows), lm_scoring.learn(frame(spark, rows), target)).collect()}
+    assert listed[10] == listed[20]  # both four unknown words
+    for share in (lm_scoring.HOT_SHARE, 0.9):  # all pairs broadcast, all pairs joined
+        monkeypatch.setattr(lm_scoring, "HOT_SHARE", share)
+        found = lm_scoring.score_by_every_word(frame(spark, rows), target).collect()
+        by_id = {r.doc_id: r for r in found}
+        assert len(found) == len(rows) and by_id[30].n_tokens == by_id[31].n_tokens == by_id[30].difference == 0
+        assert by_id[10].difference < 0 < by_id[20].difference
+        assert by_id[11].difference == pytest.approx(by_id[10].difference) and by_id[None].difference == pytest.approx(by_id[20].difference)
+    few = lm_scoring.score_by_every_word(frame(spark, rows[9:]), target.filter("false"))
+    assert few.count() == len(rows) - 9
