@@ -4,11 +4,16 @@ Base spans (email, ip, card, phone) follow exact rules and always count. Wide
 patterns propose further spans that may overlap: written-out addresses, numbers
 without a plus sign, numbers split in unusual ways. Boosted trees over format
 features (lengths, groups, separators, check digit) and context features learn
-to tell candidates that are base spans from those that fail the rules; a
-candidate that is no base span is added when its score reaches the threshold of
-its kind, from which on PRECISION of the candidates are base spans.
-
-All candidates of all texts count in training: their features take few values,
+which of them are personal data: examples for are the corpus's base spans
+rewritten in place into the wide forms, examples against are candidates that
+cannot be meant (numbers without check digit, dates, prose around "at"). Other
+candidates have no label and take no part. A candidate that is no base span is
+added when its score reaches the threshold of its kind, from which on PRECISION
+of the examples in held-out texts are rewritten base spans. A few fixed examples
+of each kind always count, so a corpus without base spans of a kind has a
+threshold too.
+
+All examples of all texts count in training: their features take few values,
 so equal ones are added up by a grouped count and the trees see the counts.
 """
 
@@ -16,6 +21,7 @@ from __future__ import annotations
 
 import hashlib
 import re
+import zlib
 from collections.abc import Iterator
 from typing import NamedTuple
 
@@ -38,7 +44,10 @@ _PHONE = re.compile(r"\+[0-9][\x20().0-9-]+[0-9]")
 
 # Wide patterns, by kind.
 _WIDE = {
-    "email": re.compile(r"\b[A-Za-z0-9._%+-]{1,64}\s?(?:@|\(at\)|\[at\]|\{at\}|\sat\s)\s?[A-Za-z0-9-]{1,63}\s?(?:\.|\(dot\)|\[dot\]|\{dot\}|\sdot\s)\s?[A-Za-z]{2,24}\b"),
+    "email": re.compile(
+        r"\b[A-Za-z0-9._%+-]{1,64}\s?(?i:@|\(at\)|\[at\]|\{at\}|\sat\s)\s?"
+        r"(?:[A-Za-z0-9-]{1,63}\s?(?i:\.|\(dot\)|\[dot\]|\{dot\}|\sdot\s)\s?){1,5}[A-Za-z]{2,24}\b"
+    ),
     "ip": re.compile(r"(?<![0-9.])[0-9]{1,3}(?:\s?[.,]\s?[0-9]{1,3}){3}(?![0-9])"),
     "card": re.compile(r"(?<![0-9])[0-9](?:[\x20./-]{0,2}[0-9]){11,22}(?![0-9])"),
     "phone": re.compile(r"(?<![0-9+])(?:\+|00)?\(?[0-9](?:[\x20()./-]{0,3}[0-9]){6,15}(?![0-9])"),
@@ -46,6 +55,8 @@ _WIDE = {
 # Spans are looked for only in texts with a digit, an @ or a written-out one.
 _TRIGGERS = np.zeros(256, bool)
 _TRIGGERS[[*b"0123456789@([{"]] = True
+# A blank outside of ASCII counts as one too.
+_WRITTEN_OUT = re.compile(rb"(?<![!-~])[Aa][Tt](?![!-~])")
 
 TREES = 40
 DEPTH = 3
@@ -53,8 +64,8 @@ RATE = 0.3
 # Distinct feature vectors the trees are fitted on at most; beyond, those with the lowest hashes.
 MAX_VECTORS = 50_000
 PRECISION = 0.98
-# With fewer base spans of a kind than this, nothing is added to it.
-MIN_SUPPORT = 20
+# One of so many texts, by its hash, is held out from fitting and sets the thresholds.
+HELD_OUT = 4
 
 FEATURES = (
     "kind", "length", "digits", "groups", "first_group", "last_group", "longest_group", "separators", "plus", "brackets",
@@ -134,6 +145,94 @@ def features(text: str, span: Span) -> tuple[int, ...]:
     )
 
 
+_AT_DOT = ((" (at) ", " (dot) "), (" at ", " dot "), ("(at)", "(dot)"), (" [at] ", " [dot] "), ("[at]", "."), (" at ", "."), (" @ ", "."), ("{at}", "{dot}"))
+
+
+def wide_forms(kind: str, own: str) -> list[str]:
+    """A base span as people write it to evade or bend the exact rules; only forms the wide pattern of the kind takes whole."""
+    digits = re.sub(r"[^0-9]", "", own)
+    if kind == "email":
+        local, domain = own.split("@")
+        forms = [local + at + domain.replace(".", dot) for at, dot in _AT_DOT]
+    elif kind == "ip":
+        forms = [own.replace(".", dot) for dot in (" . ", ". ", " .")]
+    elif kind == "card":
+        forms = [sep.join(digits[k:k + 4] for k in range(0, len(digits), 4)) for sep in (".", "/", "  ", "- ")]
+    else:
+        # Digits alone would be like any long number.
+        bare = own[1:]
+        country, _, rest = bare.partition(" ")
+        broken = any(not c.isdigit() for c in bare)
+        forms = [bare, f"00{bare}"] * broken + [rest] * (sum(map(str.isdigit, rest)) >= 10 and not rest.isdigit())
+    return [form for form in forms if _WIDE[kind].fullmatch(form)]
+
+
+_DATE = re.compile(r"(?<![0-9])(?:(?:19|20)[0-9]{2}[-/.][0-9]{1,2}[-/.][0-9]{1,2}|[0-9]{1,2}[-/.][0-9]{1,2}[-/.](?:19|20)[0-9]{2})(?![0-9])")
+_PROSE = re.compile(r"\sat\s.*?[A-Za-z0-9-](?:\.\s|\s\.)", re.DOTALL | re.IGNORECASE)
+
+
+def implausible(text: str, span: Span, base: list[Span]) -> bool:
+    """Whether a candidate that is no base span cannot be meant as one of its kind."""
+    own = text[span.start:span.end]
+    groups = re.findall(r"[0-9]+", own)
+    digits = "".join(groups)
+    if span.kind == "email":
+        return _PROSE.search(own) is not None
+    if span.kind == "ip":
+        return "," in own or any(int(g) > 255 for g in groups)
+    if span.kind == "card":
+        return not (14 <= len(digits) <= 19 and luhn(digits))
+    number = digits.removeprefix("00")
+    return (
+        not 10 <= len(number) <= 15 or own.isdigit() or len(groups) > 7 or _DATE.search(own) is not None
+        or any(s.kind != "phone" and s.start < span.end and span.start < s.end for s in base)
+    )
+
+
+def examples(text: str, every_form: bool = False) -> Iterator[tuple[tuple[int, ...], int]]:
+    """Features and label (1 personal, 0 not) of what ``text`` teaches.
+
+    Each base span stands for one of its wide forms, chosen by a hash, where it
+    has any; candidates that are no base spans count if implausible.
+    """
+    base = base_spans(text)
+    rules = set(base)
+    for span in base:
+        own = text[span.start:span.end]
+        forms = wide_forms(span.kind, own)
+        if forms and not every_form:
+            forms = [forms[zlib.crc32(f"{span.start} {own}".encode()) % len(forms)]]
+        before = text[max(0, span.start - 8):span.start]
+        for form in forms:
+            shown = before + form + text[span.end:span.end + 8]
+            yield features(shown, Span(span.kind, len(before), len(before) + len(form))), 1
+    for span in candidates(text, base):
+        if span not in rules and implausible(text, span, base):
+            yield features(text, span), 0
+
+
+def _seeds() -> dict[tuple[int, ...], list[int]]:
+    """Examples that count whatever the corpus holds, as [hits, number] by features."""
+    frames = ("{}", "see {} today", "Contact: {}.", "a, {}, b", "\n{}\n", "({})")
+    given = (
+        "joe@example.com", "mary.smith@mail.example.org", "x_1@host-7.net", "info@firm.co.uk", "10.0.3.7", "192.168.100.25", "8.8.4.4", "172.16.254.1",
+        "4111 1111 1111 1111", "5500-0000-0000-0004", "378282246310005", "6011000990139424",
+        "+1 (456) 555-2186", "+44 20 7946 0958", "+49 30 901820-55", "+33 1 42 68 53 00", "+1 212-555-0142",
+    )
+    against = (
+        "meet at noon. Then", "look at it . We", "300.1.2.3", "1.2.999.4", "1,200,300,400", "10, 20, 30, 40", "4111 1111 1111 1112", "1234.5678.9012.3456",
+        "12345678901234", "9999/1111/2222/3333", "1234567890", "1700000000000", "2024-01-05 10.20", "05/01/2024 12", "0.1234567", "12 34 56 7", "1 2 3 4 5 6 7 8 9 10",
+    )
+    found: dict[tuple[int, ...], list[int]] = {}
+    for frame in frames:
+        for own in (*given, *against):
+            for vector, label in examples(frame.format(own), every_form=True):
+                count = found.setdefault(vector, [0, 0])
+                count[0] += label
+                count[1] += 1
+    return found
+
+
 class Trees(NamedTuple):
     """Complete trees of DEPTH levels: a node's feature and highest value that goes left, then the leaves' values."""
 
@@ -145,7 +244,7 @@ class Trees(NamedTuple):
 
 
 def fit(vectors: np.ndarray, hits: np.ndarray, counts: np.ndarray) -> Trees:
-    """Gradient boosting with logistic loss over distinct vectors: ``hits`` of ``counts`` candidates are base spans."""
+    """Gradient boosting with logistic loss over distinct vectors: ``hits`` of ``counts`` candidates are personal data."""
     total = max(1.0, float(counts.sum()))
     share = np.clip(hits.sum() / total, 1e-6, 1 - 1e-6)
     bias, nodes, leaves = float(np.log(share / (1 - share))), (1 << DEPTH) - 1, 1 << DEPTH
@@ -172,16 +271,21 @@ def fit(vectors: np.ndarray, hits: np.ndarray, counts: np.ndarray) -> Trees:
         g, h = np.bincount(at, slope, minlength=leaves), np.bincount(at, bend, minlength=leaves)
         leaf[tree] = RATE * g / (h + 1)
         raw += leaf[tree, at]
-    chance, thresholds = 1 / (1 + np.exp(-raw)), {}
+    return Trees(bias, feature, limit, leaf, thresholds(vectors[:, 0], 1 / (1 + np.exp(-raw)), hits, counts))
+
+
+def thresholds(kinds: np.ndarray, chance: np.ndarray, hits: np.ndarray, counts: np.ndarray) -> dict[str, float]:
+    """By kind the lowest score from which on PRECISION of the counted candidates are hits; 2 where there is none."""
+    found = {}
     for number, kind in enumerate(KINDS):
-        own = np.flatnonzero(vectors[:, 0] == number) if len(counts) else np.zeros(0, int)
+        own = np.flatnonzero((kinds == number) & (counts > 0))
         own = own[np.argsort(-chance[own], kind="stable")]
         good, seen = np.cumsum(hits[own]), np.cumsum(counts[own])
         # Only where the next score is lower is a threshold possible.
         last = np.append(chance[own][1:] < chance[own][:-1], True) if len(own) else np.zeros(0, bool)
-        fine = np.flatnonzero(last & (good >= PRECISION * seen) & (good >= MIN_SUPPORT))
-        thresholds[kind] = float(chance[own][fine[-1]]) if len(fine) else 2.0
-    return Trees(bias, feature, limit, leaf, thresholds)
+        fine = np.flatnonzero(last & (good >= PRECISION * seen) & (good > 0))
+        found[kind] = float(chance[own][fine[-1]]) if len(fine) else 2.0
+    return found
 
 
 def scores(vectors: np.ndarray, trees: Trees) -> np.ndarray:
@@ -197,6 +301,8 @@ def scores(vectors: np.ndarray, trees: Trees) -> np.ndarray:
 def _texts(part: tokens.Slice) -> Iterator[tuple[int, str | None]]:
     """Rows and their texts; None for texts that cannot hold a span."""
     likely = tokens.row_sums(_TRIGGERS[part.data].astype(np.int64), part.offsets) > 0
+    written = np.array([m.start() for m in _WRITTEN_OUT.finditer(part.data)], np.int64)
+    likely[np.searchsorted(part.offsets, written, "right") - 1] = True
     for row, found in enumerate(likely):
         yield row, part.data[part.offsets[row]:part.offsets[row + 1]].tobytes().decode("utf-8", "replace") if found else None
 
@@ -207,31 +313,33 @@ def _vectors(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for part in tokens.slices(batch.column("text")):
             for _, text in _texts(part):
                 if text is not None:
-                    base = base_spans(text)
-                    rules = set(base)
-                    for span in candidates(text, base):
-                        count = found.setdefault(features(text, span), [0, 0])
-                        count[0] += span in rules
-                        count[1] += 1
-        yield pa.RecordBatch.from_arrays(
-            [
-                pa.array([list(v) for v in found], pa.list_(pa.int32())),
-                pa.array([c[0] for c in found.values()], pa.int64()), pa.array([c[1] for c in found.values()], pa.int64()),
-            ],
-            names=["vector", "hits", "n"],
-        )
+                    side = 2 * (zlib.crc32(text.encode()) % HELD_OUT == 0)
+                    for vector, label in examples(text):
+                        count = found.setdefault(vector, [0, 0, 0, 0])
+                        count[side] += label
+                        count[side + 1] += 1
+        columns = [pa.array([c[k] for c in found.values()], pa.int64()) for k in range(4)]
+        yield pa.RecordBatch.from_arrays([pa.array([list(v) for v in found], pa.list_(pa.int32())), *columns], names=["vector", *_COUNTS])
+
+
+# Hits and numbers of examples, of texts the trees are fitted on and of held-out ones.
+_COUNTS = ("hits", "n", "held_hits", "held_n")
 
 
 def learn(documents: DataFrame) -> Trees:
-    """Trees fitted on the candidates of all texts; at most MAX_VECTORS distinct vectors reach the driver."""
+    """Trees fitted on the examples of all texts; at most MAX_VECTORS distinct vectors reach the driver."""
     counted = (
         documents.select(F.col("text").cast("string").alias("text")).filter("text IS NOT NULL")
-        .mapInArrow(_vectors, "vector array<int>, hits bigint, n bigint")
-        .groupBy("vector").agg(F.sum("hits").alias("hits"), F.sum("n").alias("n"))
+        .mapInArrow(_vectors, "vector array<int>, " + ", ".join(f"{c} bigint" for c in _COUNTS))
+        .groupBy("vector").agg(*(F.sum(c).alias(c) for c in _COUNTS))
         .orderBy(F.xxhash64("vector"), "vector").limit(MAX_VECTORS).toArrow()
     )
-    vectors = np.array(counted.column("vector").to_pylist(), int).reshape(-1, len(FEATURES))
-    return fit(vectors, counted.column("hits").to_numpy().astype(float), counted.column("n").to_numpy().astype(float))
+    seeds = _seeds()
+    vectors = np.array([*counted.column("vector").to_pylist(), *map(list, seeds)], int).reshape(-1, len(FEATURES))
+    fixed = np.array(list(seeds.values()), float)
+    hits, n, held_hits, held_n = (np.append(counted.column(c).to_numpy(), fixed[:, k % 2]) for k, c in enumerate(_COUNTS))
+    trees = fit(vectors, hits, n)
+    return trees._replace(thresholds=thresholds(vectors[:, 0], scores(vectors, trees), held_hits, held_n))
 
 
 def chosen_spans(text: str, trees: Trees) -> tuple[list[Span], list[Span]]:

@@ -264,6 +264,26 @@ def test_added_spans_overlap_no_base_span_and_redaction_takes_all(spark, documen
     assert not [r for r in changed.collect() if pii.base_spans(r.text)]
 
 
+def test_written_out_and_bent_spans_are_taken(spark):
+    """As many wide forms as base spans, and implausible look-alikes: most of the first are added, few of the others."""
+    rng = random.Random(9)
+    word = lambda n=6: "".join(rng.choice("abcdefgh") for _ in range(n))
+    number = lambda: f"{rng.randrange(200, 999)}-{rng.randrange(200, 999)}-{rng.randrange(1000, 9999)}"
+    rows, wide, other = [], [], []
+    for k in range(400):
+        rows += [(len(rows), f"write to {word()}@{word()}.com or {word()} call +1 {number()} now")]
+        wide += [len(rows), len(rows) + 1]
+        rows += [(len(rows), f"write to {word()} at {word()} dot com please"), (len(rows) + 1, f"write or call 1 {number()} please")]
+        other += [len(rows), len(rows) + 1]
+        rows += [(len(rows), f"we met at {word()}. Then we left"), (len(rows) + 1, f"on 20{rng.randrange(10, 24)}-{rng.randrange(10, 13)}-{rng.randrange(10, 28)} 10 it was {rng.randrange(10**9, 10**10)}")]
+    documents = frame(spark, rows)
+    found = {r.doc_id: r.spans for r in pii.find(documents, pii.learn(documents)).collect()}
+    assert sum(bool(found[k]) for k in wide) > 0.95 * len(wide)
+    assert sum(bool(found[k]) for k in other) < 0.02 * len(other)
+    alone = frame(spark, [(1, "mail joe at example dot com today")])
+    assert pii.redacted(alone, pii.learn(alone)).first().text == "mail <email> today"
+
+
 def test_boosted_trees_learn_a_rule():
     rng = np.random.default_rng(1)
     vectors = rng.integers(0, 8, (500, len(pii.FEATURES)))
