@@ -28,10 +28,11 @@ from typing import NamedTuple
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from pagequarry.llm import tokens
+from pagequarry.session import materialise
 
 # Fixed by contract: order of kinds and their patterns.
 KINDS = ("email", "ip", "card", "phone")
@@ -61,8 +62,14 @@ _WRITTEN_OUT = re.compile(rb"(?<![!-~])[Aa][Tt](?![!-~])")
 TREES = 40
 DEPTH = 3
 RATE = 0.3
-# Distinct feature vectors the trees are fitted on at most; beyond, those with the lowest hashes.
+# Distinct feature vectors the trees are fitted on at most; where there are more, sizes are read more coarsely.
 MAX_VECTORS = 50_000
+# Features that are sizes. With steps of 2 ** COARSEST all but the length are one value each, which
+# leaves 12,800 vectors: 4 kinds, 2 lengths, 5 * 5 neighbours and 6 features that are 0 or 1.
+_SIZES = ("length", "digits", "groups", "first_group", "last_group", "longest_group", "separators", "letters")
+COARSEST = 5
+# Scores are counted by steps of 1 / SCORE_STEPS to find the thresholds.
+SCORE_STEPS = 10_000
 PRECISION = 0.98
 # One of so many texts, by its hash, is held out from fitting and sets the thresholds.
 HELD_OUT = 4
@@ -326,30 +333,58 @@ def _vectors(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 _COUNTS = ("hits", "n", "held_hits", "held_n")
 
 
+def _coarser(level: int) -> Column:
+    """The vector with every size raised to the last of its step of 2 ** level, so that limits hold for exact sizes too."""
+    places = F.array(*(F.lit(FEATURES.index(name)) for name in _SIZES))
+    return F.transform("vector", lambda value, place: F.when(F.array_contains(places, place), value.bitwiseOR(F.lit((1 << level) - 1))).otherwise(value))
+
+
+def _by_score(batches: Iterator[pa.RecordBatch], trees: Trees) -> Iterator[pa.RecordBatch]:
+    for batch in batches:
+        vectors = np.array(batch.column("vector").to_pylist(), int).reshape(-1, len(FEATURES))
+        steps = np.floor(scores(vectors, trees) * SCORE_STEPS).astype(np.int32)
+        columns = [pa.array(vectors[:, 0], pa.int32()), pa.array(steps), batch.column("held_hits"), batch.column("held_n")]
+        yield pa.RecordBatch.from_arrays(columns, names=["kind", "step", "hits", "n"])
+
+
 def learn(documents: DataFrame) -> Trees:
-    """Trees fitted on the examples of all texts; at most MAX_VECTORS distinct vectors reach the driver."""
-    counted = (
+    """Trees fitted on the examples of all texts, thresholds counted on all held-out ones.
+
+    What reaches the driver is bounded, but leaves no example out: vectors for
+    the fit are made coarser until there are at most MAX_VECTORS, and examples
+    that set thresholds are counted by kind and step of their score.
+    """
+    counted = materialise(
         documents.select(F.col("text").cast("string").alias("text")).filter("text IS NOT NULL")
         .mapInArrow(_vectors, "vector array<int>, " + ", ".join(f"{c} bigint" for c in _COUNTS))
-        .groupBy("vector").agg(*(F.sum(c).alias(c) for c in _COUNTS))
-        .orderBy(F.xxhash64("vector"), "vector").limit(MAX_VECTORS).toArrow()
+        .groupBy("vector").agg(*(F.sum(c).alias(c) for c in _COUNTS)),
+        "pii-vectors",
+    )
+    for level in range(COARSEST + 1):
+        fitted = counted.filter("n > 0").groupBy(_coarser(level).alias("vector")).agg(F.sum("hits").alias("hits"), F.sum("n").alias("n"))
+        if level == COARSEST or fitted.count() <= MAX_VECTORS:
+            break
+    found, seeds = fitted.orderBy("vector").toArrow(), _seeds()
+    fixed_vectors, fixed = np.array(list(seeds), int), np.array(list(seeds.values()), float)
+    vectors = np.array([*found.column("vector").to_pylist(), *seeds], int).reshape(-1, len(FEATURES))
+    trees = fit(vectors, *(np.append(found.column(c).to_numpy(), fixed[:, k]) for k, c in enumerate(("hits", "n"))))
+    held = (
+        counted.filter("held_n > 0").mapInArrow(lambda batches: _by_score(batches, trees), "kind int, step int, hits bigint, n bigint")
+        .groupBy("kind", "step").agg(F.sum("hits").alias("hits"), F.sum("n").alias("n")).toArrow()
     )
-    seeds = _seeds()
-    vectors = np.array([*counted.column("vector").to_pylist(), *map(list, seeds)], int).reshape(-1, len(FEATURES))
-    fixed = np.array(list(seeds.values()), float)
-    hits, n, held_hits, held_n = (np.append(counted.column(c).to_numpy(), fixed[:, k % 2]) for k, c in enumerate(_COUNTS))
-    trees = fit(vectors, hits, n)
-    return trees._replace(thresholds=thresholds(vectors[:, 0], scores(vectors, trees), held_hits, held_n))
+    fixed_held = fixed_vectors[:, 0], np.floor(scores(fixed_vectors, trees) * SCORE_STEPS), fixed[:, 0], fixed[:, 1]
+    kinds, steps, hits, n = (np.append(held.column(c).to_numpy(), own) for c, own in zip(("kind", "step", "hits", "n"), fixed_held))
+    return trees._replace(thresholds=thresholds(kinds, steps / SCORE_STEPS, hits, n))
 
 
 def chosen_spans(text: str, trees: Trees) -> tuple[list[Span], list[Span]]:
-    """Base spans, and all spans: base ones and the added ones, which overlap none before them."""
+    """Base spans, and all spans: base ones and the added ones, which are not implausible and overlap none before them."""
     base = base_spans(text)
     rules = set(base)
     taken = bytearray(len(text))
     for span in base:
         taken[span.start:span.end] = b"\x01" * (span.end - span.start)
-    more = [s for s in candidates(text, base) if s not in rules and 1 not in taken[s.start:s.end]]
+    more = [s for s in candidates(text, base) if s not in rules and 1 not in taken[s.start:s.end] and not implausible(text, s, base)]
     if not more:
         return base, base
     sure = scores(np.array([features(text, s) for s in more]), trees)

@@ -284,6 +284,25 @@ def test_written_out_and_bent_spans_are_taken(spark):
     assert pii.redacted(alone, pii.learn(alone)).first().text == "mail <email> today"
 
 
+def test_no_example_is_left_out_of_fit_and_thresholds(spark, documents, monkeypatch):
+    """With far more distinct vectors than allowed, all examples still count."""
+    expected = np.array([0, 0, 0, 0])
+    for batch in documents.select("text").filter("text IS NOT NULL").mapInArrow(pii._vectors, "vector array<int>, hits long, n long, held_hits long, held_n long").collect():
+        expected += [batch.hits, batch.n, batch.held_hits, batch.held_n]
+    seen, fit, calibrate = [], pii.fit, pii.thresholds
+    monkeypatch.setattr(pii, "fit", lambda vectors, hits, n: seen.append((hits.sum(), n.sum(), len(n))) or fit(vectors, hits, n))
+    monkeypatch.setattr(pii, "thresholds", lambda kinds, chance, hits, n: seen.append((hits.sum(), n.sum())) or calibrate(kinds, chance, hits, n))
+    fixed = np.array(list(pii._seeds().values())).sum(axis=0)
+    sizes = []
+    for most in (50_000, 20):
+        monkeypatch.setattr(pii, "MAX_VECTORS", most)
+        seen.clear()
+        pii.learn(documents)
+        assert seen[0][:2] == tuple(expected[:2] + fixed) and seen[-1] == tuple(expected[2:] + fixed)
+        sizes.append(seen[0][2])
+    assert sizes[1] < sizes[0]
+
+
 def test_boosted_trees_learn_a_rule():
     rng = np.random.default_rng(1)
     vectors = rng.integers(0, 8, (500, len(pii.FEATURES)))
