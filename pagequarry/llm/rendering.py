@@ -2,6 +2,8 @@
 
 The builder adds the end tags that HTML lets authors leave out (paragraphs,
 list items, table parts, options), so text lands in the element it belongs to.
+Text and elements that stand in a table, but in none of its cells, move to
+before the table, and a form between rows or cells is passed over, as in HTML.
 Rendering leaves out what a reader does not see (head, scripts, styles, hidden
 elements, closed details) and keeps what a reader does: block spacing, list
 marks and indents, line breaks, preformatted text, and table cells aligned in
@@ -21,7 +23,10 @@ from pyspark.sql import functions as F
 
 _VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
 _RAW = frozenset("script style textarea title xmp iframe noembed noframes noscript template".split())
-_HIDDEN = frozenset("head script style template iframe object noscript noembed noframes title datalist audio video canvas svg math select meta link".split())
+_HIDDEN = frozenset(
+    "head script style template iframe object noscript noembed noframes title datalist audio video canvas meta link "
+    "desc metadata defs symbol clippath mask annotation annotation-xml".split()
+)
 _BLOCK = frozenset(
     "address article aside blockquote body center dd details dialog dir div dl dt fieldset figcaption figure footer form h1 h2 h3 h4 h5 h6 "
     "header hgroup hr html legend li main menu nav ol p pre search section summary table ul tr caption".split()
@@ -39,7 +44,16 @@ _ENDS: dict[str, tuple[frozenset[str], frozenset[str]]] = {
     "td": (frozenset(("td", "th")), frozenset(("tr", "table"))),
     "th": (frozenset(("td", "th")), frozenset(("tr", "table"))),
     "option": (frozenset(("option",)), frozenset(("select", "datalist"))),
+    "optgroup": (frozenset(("option", "optgroup")), frozenset(("select", "datalist"))),
 } | {part: (frozenset(("tr", "td", "th", "caption", "thead", "tbody", "tfoot")), _TABLE) for part in ("thead", "tbody", "tfoot")}
+# Where only parts of a table may stand; anything else moves to before the table.
+_SECTIONS = frozenset(("thead", "tbody", "tfoot"))
+_STRUCTURE = _SECTIONS | {"table", "tr", "colgroup"}
+_PARTS = _SECTIONS | {"tr", "td", "th", "caption", "colgroup", "col", "script", "style", "template"}
+# The innermost of these open elements receives a part of a table, whatever else was opened within.
+_RECEIVES = {part: _TABLE for part in (*_SECTIONS, "caption", "colgroup")} | {"tr": _SECTIONS | _TABLE} | {
+    cell: _SECTIONS | {"tr", "table"} for cell in ("td", "th")
+}
 # Blocks that end an open paragraph.
 _ENDS_PARAGRAPH = _BLOCK - frozenset(("html", "body", "tr", "caption", "legend", "summary", "dt", "dd", "li"))
 _MARKUP = re.compile(r"<!--.*?(?:-->|\Z)|<[!?][^>]*(?:>|\Z)|<(/?)([A-Za-z][^\s/>]*)((?:[^>\"']|\"[^\"]*\"|'[^']*')*+)>", re.DOTALL)
@@ -86,9 +100,21 @@ def build_tree(source: str) -> Node:
                 found = place
         return found
 
+    def innermost(tags: frozenset[str]) -> int:
+        return next((p for p in range(len(opened) - 1, 0, -1) if opened[p].tag in tags), 0)
+
+    def add(child: Node | str) -> None:
+        """Append to the innermost open element, or before the table whose structure has no place for it."""
+        table = innermost(_TABLE) if opened[-1].tag in _STRUCTURE else 0
+        if table and (child.tag not in _PARTS if isinstance(child, Node) else child.strip()):
+            before = opened[table - 1].children
+            before.insert(len(before) - (before[-1] is opened[table]), child)
+        else:
+            opened[-1].children.append(child)
+
     def text(piece: str) -> None:
         if piece:
-            opened[-1].children.append(html.unescape(piece) if "&" in piece else piece)
+            add(html.unescape(piece) if "&" in piece else piece)
 
     while True:
         m = _MARKUP.search(source, at)
@@ -103,12 +129,12 @@ def build_tree(source: str) -> Node:
         if m[1]:
             place = next((p for p in range(len(opened) - 1, 0, -1) if opened[p].tag == tag), 0)
             # An inline end tag does not close the cell or table it stands in.
-            if place and not (tag not in _BLOCK and tag not in ("td", "th") and any(n.tag in ("td", "th", "table") for n in opened[place + 1:])):
+            if place and not ((tag not in _BLOCK or tag == "form") and tag not in ("td", "th") and any(n.tag in ("td", "th", "table") for n in opened[place + 1:])):
                 close(place)
             elif tag == "p" and not place:
-                opened[-1].children.append(Node("p"))
+                add(Node("p"))
             elif tag == "br":
-                opened[-1].children.append(Node("br"))
+                add(Node("br"))
             continue
         if tag in _ENDS_PARAGRAPH:
             place = nearest(frozenset(("p",)), frozenset(("td", "th", "table", "button")))
@@ -118,12 +144,22 @@ def build_tree(source: str) -> Node:
             place = nearest(*_ENDS[tag])
             if place:
                 close(place)
+        if tag in _RECEIVES:
+            place = innermost(_RECEIVES[tag])
+            # Not out of a cell, which has been closed above where it ends.
+            if place and not any(n.tag in ("td", "th") for n in opened[place + 1:]):
+                close(place + 1)
+        if opened[-1].tag in _STRUCTURE and innermost(_TABLE):
+            if tag == "table":
+                close(innermost(_TABLE))
+            elif tag == "form":
+                continue
         if tag in ("td", "th") and opened[-1].tag in ("table", "thead", "tbody", "tfoot"):
             row = Node("tr")
             opened[-1].children.append(row)
             opened.append(row)
         node = Node(tag, _attributes(m[3]) if m[3] else {})
-        opened[-1].children.append(node)
+        add(node)
         if tag in _VOID or m[3].endswith("/") and tag not in _BLOCK:
             continue
         if tag in _RAW:
@@ -249,6 +285,13 @@ def _render(node: Node | str, out: _Lines, exact: bool = False) -> None:
         out.words(node.attributes.get("alt", ""))
     elif tag == "textarea":
         out.words(html.unescape("".join(c for c in node.children if isinstance(c, str))))
+    elif tag in ("option", "optgroup", "text"):  # text is an element of svg
+        out.words(" ")
+        if tag == "optgroup":
+            out.words(node.attributes.get("label", "") + " ")
+        for child in node.children:
+            _render(child, out, exact)
+        out.words(" ")
     elif tag in ("td", "th"):  # outside of a table
         out.words(" ".join(_block(node)) + " ")
     else:

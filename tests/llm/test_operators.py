@@ -446,6 +446,31 @@ def test_visible_text(page, text):
     assert rendering.rendered(page) == text
 
 
+@pytest.mark.parametrize("page", [
+    "<table><tr><form><td>A1</td><td>B2</td></form></tr></table>C3",
+    "<form>A1<table><tbody><form><tr><td>B2</td></tr></form></tbody></table>C3</form>",
+    "<table><tr>A1<td>B2</td>C3</tr></table>",
+    "<table><tr><center>A1</center><td>B2</td></tr><tr><center><td>C3</table>",
+    "<table>A1<tbody>B2<tr><td>C3</table>",
+    "<table><thead><div>A1<tr><td>B2</td></tr></div></thead><p>C3</table>",
+    "<table><caption>A1</caption><colgroup>B2<col><tr><td>C3</table>",
+    "<table><tr><td><table><tr>A1<td>B2</table></td>C3</tr></table>",
+    "<table><table><tr><td>A1</table>B2<br>C3</table>",
+    "<select><option>A1<option>B2</select>C3",
+    "<table><tr><select><option>A1</option></select><td>B2<td>C3</table>",
+    "<svg><title>no</title><text>A1</text><g><text>B2</text></g></svg><math><mi>C3</mi></math>",
+    "<table>" * 150 + "<tr><td>A1" + "<table><tr>" * 120 + "B2<td>C3",
+])
+def test_every_text_of_a_malformed_table_is_kept(page):
+    found = rendering.rendered(page)
+    assert all(found.count(piece) == 1 for piece in ("A1", "B2", "C3")) and "no" not in found
+
+
+def test_a_form_between_rows_and_cells_changes_no_table():
+    rows = ["<tr><td>apple<td>10</tr>", "<tr><td>fig<td>2</tr>"]
+    assert rendering.rendered(f"<table><form>{rows[0]}<tr><form><td>fig<td>2</form></tr></form></table>") == "apple | 10\nfig   | 2"
+
+
 def test_pages_of_odd_form(spark):
     rows = [(1, "u", None), (2, None, "<div>" * 5000 + "deep"), (3, "u", "<table>" * 300 + "x"), (None, "u", "<a href='" + "x" * 10**6)]
     found = {r.page_id: r.text for r in rendering.visible_texts(spark.createDataFrame(rows, "page_id bigint, url string, html string")).collect()}
