@@ -45,20 +45,21 @@ class Vocabulary:
     hot: DataFrame
     documents: int
     terms: int
+    max_broadcast: int | None = None
 
     @staticmethod
-    def of(bags: DataFrame) -> Vocabulary:
-        """Count terms by a grouped sum, which combines before the shuffle."""
+    def of(bags: DataFrame, max_broadcast: int | None = None) -> Vocabulary:
+        """Count terms by a grouped sum, which combines before the shuffle; up to ``max_broadcast`` may travel to the tasks."""
         terms = explode_rows(bags.select("terms"), F.col("terms.term"), "_", "term").select("term")
         counted = terms.groupBy("term").agg(F.count("*").alias("df"))
         frequencies = materialise(counted, "vocabulary")
         size = frequencies.agg(F.count("*").alias("terms"), F.sum("df").alias("postings")).first()
         hot = hot_keys(frequencies, "term", "df", size.postings or 0)
-        return Vocabulary(frequencies, hot, bags.count(), size.terms)
+        return Vocabulary(frequencies, hot, bags.count(), size.terms, max_broadcast)
 
     @property
     def is_small(self) -> bool:
-        return self.terms <= MAX_BROADCAST_TERMS
+        return self.terms <= (MAX_BROADCAST_TERMS if self.max_broadcast is None else self.max_broadcast)
 
     def attach(self, postings: DataFrame, spread_by: str, how: str) -> DataFrame:
         """``postings`` with ``df`` of their ``term``: by broadcast while the vocabulary is small, else salted."""
@@ -110,13 +111,16 @@ def tfidf_vectors(bags: DataFrame, vocabulary: Vocabulary) -> DataFrame:
 
     Texts whose every term has weight zero have no direction and are left out.
     A small vocabulary is handed to the tasks, which then weigh row by row
-    without a shuffle; a large one is joined.
+    without a shuffle; a large one is joined. Either way every row of ``bags``
+    has its own vector, also where rows share an id or have none.
     """
     if vocabulary.is_small:
         schema = T.StructType([bags.schema["id"], T.StructField("vector", VECTOR_TYPE)])
         weigh = _weigh_rows(vocabulary.frequencies.select("term", "df").toArrow(), vocabulary.documents)
         return bags.select("id", "terms").mapInArrow(weigh, schema)
-    weighted = weighted_terms(bags, vocabulary).select("id", "term", (F.col("tf") * F.col("idf")).alias("weight"))
+    # Rows are told apart by a key of their own, written so that it stays the same.
+    rows = materialise(bags.select(F.struct(F.monotonically_increasing_id().alias("row"), "id").alias("id"), "terms"), "keyed-bags")
+    weighted = weighted_terms(rows, vocabulary).select("id", "term", (F.col("tf") * F.col("idf")).alias("weight"))
     grouped = (
         weighted.filter(F.col("weight") != 0)
         .groupBy("id")
@@ -127,7 +131,7 @@ def tfidf_vectors(bags: DataFrame, vocabulary: Vocabulary) -> DataFrame:
     def scaled(length: Column) -> Column:
         return F.transform("terms", lambda t: F.struct(t["term"].alias("term"), (t["weight"] / length).alias("weight")))
 
-    return grouped.select("id", let(norm, scaled).alias("vector"))
+    return grouped.select("id.id", let(norm, scaled).alias("vector"))
 
 
 @dataclass(frozen=True)

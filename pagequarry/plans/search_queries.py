@@ -75,6 +75,18 @@ def term_weights(spark, folder):
     )
 
 
+@query(f"""
+    WITH {sql.frequencies('c', 'documents', 'doc_id', 'text')}, {sql.tfidf('t', 'documents', 'doc_id', 'text', 'c')}
+    SELECT id, term, round(w, 6) AS weight FROM t""")
+def term_weights_by_join(spark, folder):
+    """The same by the join that vocabularies too large for the tasks take."""
+    bags = materialise(terms.bag_of_words(texts(spark, folder, "documents"), "doc_id", "text"), "bags-of-words")
+    vectors = terms.tfidf_vectors(bags, terms.Vocabulary.of(bags, max_broadcast=0))
+    return explode_rows(vectors, F.col("vector"), "_", "t").select(
+        "id", "t.term", F.round("t.weight", 6).alias("weight")
+    )
+
+
 @query(f"""
     WITH {sql.vector_sums('t', 'pages', 'page_id', 'html')}
     SELECT page_id AS id, url, md5(coalesce(html, '')) AS content_hash, 'hashed-64' AS model_id, 64::BIGINT AS dimension,

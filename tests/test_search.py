@@ -4,7 +4,7 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from pagequarry.operators import ranking
+from pagequarry.operators import ranking, terms
 from pagequarry.operators.answers import answer_questions, apply_threshold, attach_columns, best_hit
 from pagequarry.operators.models import embed, hashed_words, stub_chat_model
 from pagequarry.operators.skew import hot_keys, salted_join
@@ -216,3 +216,13 @@ def test_answers_from_contexts(spark):
     assert row.sources == ["red fox", "red dog"] and row.answer == "3 reds"
     nothing = answer_from_contexts(questions, index.filter("id < 0"), docs, hashed_words(256), model).first()
     assert nothing.sources == [] and nothing.answer.startswith("1 reds")
+
+
+@pytest.mark.parametrize("max_broadcast", [0, 1000])
+def test_rows_that_share_an_id_have_vectors_of_their_own(spark, max_broadcast):
+    rows = [(1, "red fox"), (1, "red red dog"), (1, "red fox"), (None, "blue dog"), (None, "red cat"), (2, ""), (3, None), (4, "the fox")]
+    bags = terms.bag_of_words(spark.createDataFrame(rows, "d bigint, t string"), "d", "t")
+    vectors = terms.tfidf_vectors(bags, terms.Vocabulary.of(bags, max_broadcast)).collect()
+    found = sorted((r.id or 0, sorted(t.term for t in r.vector)) for r in vectors)
+    assert found == sorted((d or 0, sorted(set(t.split()))) for d, t in rows if t)
+    assert all(abs(sum(t.weight**2 for t in r.vector) - 1) < 1e-9 for r in vectors)
