@@ -114,3 +114,30 @@ def op7_layout_text(spark: SparkSession, folder: str) -> DataFrame:
     from pagequarry.llm.rendering import visible_texts
 
     return visible_texts(table(spark, folder, "pages"))
+
+
+@query()
+def op11_bpe_round_trip(spark: SparkSession, folder: str) -> DataFrame:
+    from pagequarry.llm.bpe import round_trip
+
+    coded = round_trip(table(spark, folder, "documents").select("doc_id", "text"))
+    return coded.select(
+        "doc_id",
+        F.size("ids").cast("long").alias("n_tokens"),
+        F.sha2(F.array_join(F.col("ids").cast("array<string>"), ","), 256).alias("ids_sha256"),
+        F.sha2("decoded", 256).alias("decoded_sha256"),
+    )
+
+
+@query(sql.DIVERGENCES)
+def op12_source_divergence(spark: SparkSession, folder: str) -> DataFrame:
+    from pagequarry.llm.audit import divergences
+
+    return divergences(table(spark, folder, "documents"))
+
+
+@query()
+def op13_merkle_manifest(spark: SparkSession, folder: str) -> DataFrame:
+    from pagequarry.llm.manifest import manifest
+
+    return manifest(table(spark, folder, "documents")).drop("lang")

@@ -155,3 +155,51 @@ SELECT d.pair_id, CAST(coalesce(max(n) FILTER (WHERE part = 'p'), 0) AS BIGINT)
   coalesce(max(mask) FILTER (WHERE part = 'b'), '') AS rejected_mask
 FROM d LEFT JOIN a USING (pair_id) GROUP BY 1
 """
+
+DIVERGENCES = r"""
+WITH d AS (
+  SELECT coalesce(text, '') AS text, coalesce(lang, '') AS lang, coalesce(source, '') AS source,
+    row_number() OVER () AS rid
+  FROM documents
+), t AS (
+  SELECT lang, source, rid,
+    translate(unnest(regexp_extract_all(text, '[^\x00-\x40\x5B-\x60\x7B-\x7F]+')),
+      'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS term
+  FROM d
+), occ AS (SELECT lang, source, term, count(*) AS cnt FROM t GROUP BY ALL),
+kept AS (SELECT lang, term FROM t GROUP BY ALL HAVING count(DISTINCT rid) >= 10),
+v AS (SELECT lang, count(*) AS v FROM kept GROUP BY lang),
+groups AS (SELECT DISTINCT lang, source FROM d),
+grid AS (
+  SELECT g.lang, g.source, k.term, coalesce(o.cnt, 0) AS cnt
+  FROM groups g JOIN kept k ON g.lang = k.lang
+  LEFT JOIN occ o ON o.lang = g.lang AND o.source = g.source AND o.term = k.term
+), gn AS (SELECT lang, source, sum(cnt) AS n FROM grid GROUP BY ALL),
+gp AS (
+  SELECT grid.lang, grid.source, grid.term, grid.cnt,
+    1 + (1000000000 * (grid.cnt + 2)) // (gn.n + 2 * v.v) AS p
+  FROM grid JOIN gn USING (lang, source) JOIN v USING (lang)
+), lc AS (SELECT lang, term, sum(cnt) AS cnt FROM grid GROUP BY ALL),
+ln AS (SELECT lang, sum(cnt) AS n FROM lc GROUP BY lang),
+lq AS (
+  SELECT lc.lang, lc.term, 1 + (1000000000 * (lc.cnt + 2)) // (ln.n + 2 * v.v) AS q
+  FROM lc JOIN ln USING (lang) JOIN v USING (lang)
+), pair_sums AS (
+  SELECT x.lang, x.source, y.source AS item, sum((x.p - y.p) * (x.p - y.p) // (x.p + y.p)) AS value
+  FROM gp x JOIN gp y ON x.lang = y.lang AND x.term = y.term AND x.source <> y.source
+  GROUP BY ALL
+), pairs AS (
+  SELECT a.lang, a.source, 'pair' AS part, b.source AS item, CAST(coalesce(s.value, 0) AS BIGINT) AS value
+  FROM groups a JOIN groups b ON a.lang = b.lang AND a.source <> b.source
+  LEFT JOIN pair_sums s ON s.lang = a.lang AND s.source = a.source AND s.item = b.source
+), terms AS (
+  SELECT gp.lang, gp.source, 'term' AS part, gp.term AS item,
+    CAST((gp.p - lq.q) * (gp.p - lq.q) // (gp.p + lq.q) AS BIGINT) AS value
+  FROM gp JOIN lq USING (lang, term)
+  WHERE gp.cnt > 0 AND gp.p > lq.q
+), ranked AS (
+  SELECT *, CAST(row_number() OVER (PARTITION BY lang, source, part ORDER BY value DESC, item ASC) AS INTEGER) AS rank
+  FROM (SELECT * FROM pairs UNION ALL SELECT * FROM terms)
+)
+SELECT lang, source, part, item, value, rank FROM ranked WHERE part = 'pair' OR rank <= 10
+"""
