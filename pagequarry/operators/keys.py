@@ -33,3 +33,27 @@ def dense_ids(df: DataFrame, *order: str, name: str = "id", partitions: int | No
     )
     numbered = written.join(F.broadcast(starts), "_part")
     return numbered.withColumn(name, F.col("_start") + F.col("_row") + 1).drop("_at", "_part", "_row", "_start")
+
+
+def numbered_within(df: DataFrame, group: str, *order, name: str = "pos") -> DataFrame:
+    """``df`` with ``name``: 0, 1, ... within each value of ``group`` in ``order``.
+
+    Rows are range-partitioned on (group, order), so a group with a third of
+    all rows is cut into many tasks; sorted, written once and counted per
+    (partition, group). A group's start in a partition is the sum of its rows
+    in the partitions before, from a table of at most partitions + groups rows.
+    """
+    keys = [F.col(group), *order]
+    placed = df.repartitionByRange(*keys).sortWithinPartitions(*keys).withColumn("_at", F.monotonically_increasing_id())
+    written = (
+        materialise(placed, "numbered")
+        .withColumn("_part", F.shiftright("_at", 33))
+        .withColumn("_row", F.col("_at").bitwiseAND(F.lit((1 << 33) - 1)))
+    )
+    pieces = written.groupBy("_part", group).agg(F.min("_row").alias("_first"), F.count("*").alias("_size"))
+    before = Window.partitionBy(group).orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)
+    starts = pieces.select("_part", group, "_first", F.coalesce(F.sum("_size").over(before), F.lit(0)).alias("_start"))
+    small = starts.count() <= 1_000_000
+    return written.join(F.broadcast(starts) if small else starts, ["_part", group]).select(
+        *df.columns, (F.col("_start") + F.col("_row") - F.col("_first")).alias(name)
+    )

@@ -19,6 +19,7 @@ from pagequarry.operators.index import (
     upsert_vectors,
 )
 from pagequarry.operators.models import embed, hashed_words
+from pagequarry.operators.postings import InvertedIndex
 from pagequarry.plans import sql
 from pagequarry.plans.registry import query, table, texts
 from pagequarry.session import materialise, new_folder
@@ -259,7 +260,7 @@ def keyword_filter(spark, folder):
     return documents.filter(terms.has_keyword(F.col("text"), "That")).select("doc_id", "source")
 
 
-def _keyword_hits(k: int, tail: str) -> str:
+def _keyword_hits(k: int, tail: str, condition: str = "TRUE") -> str:
     stop = STOP_WORDS
     return f"""
     WITH {sql.frequencies('c', 'documents', 'doc_id', 'text', stop)},
@@ -267,13 +268,30 @@ def _keyword_hits(k: int, tail: str) -> str:
     {sql.tfidf('q', 'benchmark', 'item_id', 'text', 'c', stop)},
     scores AS (
         SELECT q.id AS qid, d.id AS id, {sql.significant('sum(q.w * d.w)')} AS score
-        FROM q JOIN d USING (term) GROUP BY 1, 2),
+        FROM q JOIN d USING (term) WHERE {condition} GROUP BY 1, 2),
     hits AS (
         SELECT * FROM (SELECT qid, row_number() OVER (PARTITION BY qid ORDER BY score DESC, id) AS rank, id, score
                        FROM scores WHERE score > 0) WHERE rank <= {k})
     {tail}"""
 
 
+def inverted_index(spark, folder):
+    return InvertedIndex.build(texts(spark, folder, "documents"), "doc_id", "text", STOP_WORDS)
+
+
+@query(_keyword_hits(3, "SELECT qid, rank, id, score FROM hits"))
+def keyword_search_by_postings(spark, folder):
+    """As ``keyword_search``, from postings of the asked terms only, stopping each question early."""
+    return inverted_index(spark, folder).search(table(spark, folder, "benchmark"), "item_id", "text", 3)
+
+
+@query(_keyword_hits(3, "SELECT qid, rank, id, score FROM hits", "d.id IN (SELECT doc_id FROM documents WHERE source = 'src3')"))
+def keyword_search_in_source(spark, folder):
+    """Keyword search among the texts of one source only, admitted before ranking."""
+    allowed = table(spark, folder, "documents").where(F.col("source") == "src3").select("doc_id")
+    return inverted_index(spark, folder).search(table(spark, folder, "benchmark"), "item_id", "text", 3, allowed=allowed)
+
+
 def keyword_hits(spark, folder, k):
     index = terms.KeywordIndex.build(texts(spark, folder, "documents"), "doc_id", "text", STOP_WORDS)
     return index.search(table(spark, folder, "benchmark"), "item_id", "text", k)
