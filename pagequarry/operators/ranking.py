@@ -344,15 +344,28 @@ def approximate_nearest(
     for every ``question_block`` questions that probe their cell.
     """
     questions = questions.select("qid", "vector")
-    schema = _local_schema(questions, celled_index)
+    probed = materialise(
+        questions.withColumn("cell", F.explode(nearest_cells(F.col("vector"), centroids, probes))), "probed-cells"
+    )
+    return probed_nearest(probed, celled_index, len(centroids), k, metric, question_block, index_block)
+
+
+def probed_nearest(
+    probed: DataFrame,
+    celled_index: DataFrame,
+    cells: int,
+    k: int,
+    metric: str = "l2",
+    question_block: int = QUESTION_BLOCK,
+    index_block: int = INDEX_BLOCK,
+) -> DataFrame:
+    """Best ``k`` of each question among the vectors of the cells it is paired with in ``probed (qid, vector, cell)``."""
+    schema = _local_schema(probed.select("qid", "vector"), celled_index)
     sizes = F.broadcast(
         celled_index.groupBy("cell").count()
-        .withColumn("cell", F.when(F.col("cell") < len(centroids), F.col("cell")).otherwise(F.raise_error(F.lit("cells of another training")).cast("bigint")))
+        .withColumn("cell", F.when(F.col("cell") < cells, F.col("cell")).otherwise(F.raise_error(F.lit("cells of another training")).cast("bigint")))
         .select("cell", F.ceil(F.col("count") / index_block).alias("parts"))
     )
-    probed = materialise(
-        questions.withColumn("cell", F.explode(nearest_cells(F.col("vector"), centroids, probes))), "probed-cells"
-    )
     # One row per centre at most, as ``sizes``.
     probes_of = F.broadcast(
         probed.groupBy("cell").count().select("cell", F.ceil(F.col("count") / question_block).alias("groups"))

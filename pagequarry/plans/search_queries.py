@@ -19,6 +19,7 @@ from pagequarry.operators.index import (
     upsert_vectors,
 )
 from pagequarry.operators.models import embed, hashed_words
+from pagequarry.operators.cells import CellIndex
 from pagequarry.operators.postings import InvertedIndex
 from pagequarry.plans import sql
 from pagequarry.plans.registry import query, table, texts
@@ -359,6 +360,16 @@ def approximate_search(spark, folder):
     return ranking.without_self(ranking.approximate_nearest(self_questions(index), cells, centroids, 4, probes=4), 3)
 
 
+@query(_l2_hits(2, condition="d.label = 5"))
+def filtered_approximate_search(spark, folder):
+    """The nearest vectors of one label among stored cells: the closest cells, then every cell its radius leaves in reach."""
+    index = vector_index(spark, folder)
+    centroids = ranking.train_centroids(index.select("id", "vector"), 8)
+    cells = CellIndex.build(index, centroids)
+    hits = cells.search(self_questions(index), 3, probes=2, where=F.col("label") == 5)
+    return ranking.without_self(hits, 2)
+
+
 @query(_l2_hits(3))
 def approximate_search_of_all_cells(spark, folder):
     """Probing every cell is exact."""
