@@ -15,10 +15,12 @@ N the group's occurrences of kept terms, all in exact integers, and two rates
 differ by f = floor((p - q)^2 / (p + q)).
 
 Part ``pair``: for every other source of the language, f summed over all
-kept terms (0 when V = 0). A term absent from both sources has the same f
-for every such term, so only terms present in one of them are visited and
-the rest is counted: the work grows with the present (source, term) entries
-times the sources of the language, never with the vocabulary times pairs.
+kept terms (0 when V = 0). Each row of kept terms carries the sources where
+the term occurs; in ``mapInArrow`` a chunk of terms becomes a dense integer
+matrix of rates, absent sources at their p0, and f of all ordered pairs is
+summed in numpy, per task, before Spark adds the tasks' sums. The work is
+kept terms times sources squared per language; memory is bounded by
+``PAIR_VALUES`` values per chunk.
 Part ``term``: the kept terms present in the group whose p exceeds the
 language's q, the ``top`` largest f. Ranks count from 1 per group and part,
 larger values first, then items by their UTF-8 bytes.
@@ -33,6 +35,7 @@ from __future__ import annotations
 
 from collections.abc import Iterator
 
+import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark.sql import DataFrame, Window
@@ -48,58 +51,115 @@ TOP = 10
 # More (lang, source) groups than this are joined by shuffle, not broadcast.
 MAX_BROADCAST_GROUPS = 1_000_000
 
+# Partial counts a task holds before handing them on.
+MERGED_ROWS = 1 << 20
+# Terms whose rates against all pairs of sources are held in memory at once: terms x sources^2 values.
+PAIR_VALUES = 1 << 22
+
 PARTIAL = "lang string, source string, term string, occurrences long, docs long"
 
 
+def _batch_counts(batch: pa.RecordBatch) -> pa.Table:
+    lang, source = batch.column("lang"), batch.column("source")
+    pieces = pc.split_pattern_regex(pc.ascii_lower(batch.column("text")), BETWEEN_TERMS)
+    flat = pc.list_flatten(pieces)
+    present = pc.not_equal(flat, "")
+    terms = pc.filter(flat, present)
+    rows = pc.filter(pc.list_parent_indices(pieces), present)
+    coded = pc.dictionary_encode(terms)
+    per_row = pa.table({"row": rows, "term": coded.indices}).group_by(["row", "term"], use_threads=False).aggregate([([], "count_all")])
+    per_group = (
+        pa.table(
+            {
+                "lang": pc.take(lang, per_row["row"]),
+                "source": pc.take(source, per_row["row"]),
+                "term": per_row["term"],
+                "n": per_row["count_all"],
+            }
+        )
+        .group_by(["lang", "source", "term"], use_threads=False)
+        .aggregate([("n", "sum"), ("n", "count")])
+    )
+    found = pa.table(
+        {
+            "lang": per_group["lang"],
+            "source": per_group["source"],
+            "term": pc.take(coded.dictionary, per_group["term"]),
+            "occurrences": pc.cast(per_group["n_sum"], pa.int64()),
+            "docs": pc.cast(per_group["n_count"], pa.int64()),
+        }
+    )
+    # Every group of the batch occurs, terms or not.
+    groups = pa.table({"lang": lang, "source": source}).group_by(["lang", "source"], use_threads=False).aggregate([([], "count_all")])
+    marks = pa.table(
+        {
+            "lang": groups["lang"],
+            "source": groups["source"],
+            "term": pa.nulls(groups.num_rows, pa.string()),
+            "occurrences": pa.array([0] * groups.num_rows, pa.int64()),
+            "docs": pc.cast(groups["count_all"], pa.int64()),
+        }
+    )
+    return pa.concat_tables([found, marks])
+
+
+def _merged(tables: list[pa.Table]) -> pa.Table:
+    merged = pa.concat_tables(tables).group_by(["lang", "source", "term"], use_threads=False).aggregate(
+        [("occurrences", "sum"), ("docs", "sum")]
+    )
+    return merged.rename_columns(["lang", "source", "term", "occurrences", "docs"]).select(["lang", "source", "term", "occurrences", "docs"])
+
+
 def _partial_counts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Counts of a task's batches, merged within the task while they stay below ``MERGED_ROWS``."""
+    held: list[pa.Table] = []
+    rows = 0
     for batch in batches:
-        lang, source = batch.column("lang"), batch.column("source")
-        pieces = pc.split_pattern_regex(pc.ascii_lower(batch.column("text")), BETWEEN_TERMS)
-        flat = pc.list_flatten(pieces)
-        present = pc.not_equal(flat, "")
-        terms = pc.filter(flat, present)
-        rows = pc.filter(pc.list_parent_indices(pieces), present)
-        coded = pc.dictionary_encode(terms)
-        per_row = (
-            pa.table({"row": rows, "term": coded.indices})
-            .group_by(["row", "term"], use_threads=False)
-            .aggregate([([], "count_all")])
-        )
-        per_group = (
-            pa.table(
-                {
-                    "lang": pc.take(lang, per_row["row"]),
-                    "source": pc.take(source, per_row["row"]),
-                    "term": per_row["term"],
-                    "n": per_row["count_all"],
-                }
+        counted = _batch_counts(batch)
+        held.append(counted)
+        rows += counted.num_rows
+        if rows > MERGED_ROWS:
+            merged = _merged(held)
+            held, rows = [merged], merged.num_rows
+            if rows > MERGED_ROWS // 2:
+                yield from merged.to_batches()
+                held, rows = [], 0
+    if held:
+        yield from _merged(held).to_batches()
+
+
+PAIR_SUMS = "lang string, source string, item string, visited long"
+
+
+def _pair_sums(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """f summed over a batch's terms for every ordered pair of sources of their language, in exact integers."""
+    for batch in batches:
+        table = pa.Table.from_batches([batch])
+        for lang in pc.unique(batch.column("lang")).to_pylist():
+            rows = table.filter(pc.equal(table["lang"], lang))
+            groups = rows["sources"][0].values
+            names = groups.field("source")
+            p0 = groups.field("p0").to_numpy(zero_copy_only=False).astype(np.int64)
+            size = len(names)
+            present = rows["present"].combine_chunks()
+            offsets = present.offsets.to_numpy()
+            entries = present.values
+            where = pc.index_in(entries.field("source"), value_set=names).to_numpy(zero_copy_only=False).astype(np.int64)
+            rates = entries.field("p").to_numpy(zero_copy_only=False).astype(np.int64)
+            total = np.zeros((size, size), np.int64)
+            step = max(1, PAIR_VALUES // (size * size))
+            for first in range(0, len(rows), step):
+                last = min(len(rows), first + step)
+                dense = np.tile(p0, (last - first, 1))
+                at = slice(offsets[first], offsets[last])
+                dense[np.repeat(np.arange(last - first), np.diff(offsets[first : last + 1])), where[at]] = rates[at]
+                p, q = dense[:, :, None], dense[:, None, :]
+                total += ((p - q) * (p - q) // (p + q)).sum(axis=0)
+            a, b = np.nonzero(~np.eye(size, dtype=bool))
+            yield pa.RecordBatch.from_arrays(
+                [pa.array([lang] * len(a), pa.string()), names.take(pa.array(a)), names.take(pa.array(b)), pa.array(total[a, b])],
+                names=["lang", "source", "item", "visited"],
             )
-            .group_by(["lang", "source", "term"], use_threads=False)
-            .aggregate([("n", "sum"), ("n", "count")])
-        )
-        yield pa.RecordBatch.from_arrays(
-            [
-                per_group["lang"].combine_chunks(),
-                per_group["source"].combine_chunks(),
-                pc.take(coded.dictionary, per_group["term"]).combine_chunks(),
-                per_group["n_sum"].combine_chunks().cast(pa.int64()),
-                per_group["n_count"].combine_chunks().cast(pa.int64()),
-            ],
-            names=["lang", "source", "term", "occurrences", "docs"],
-        )
-        # Every group of the batch occurs, terms or not.
-        groups = pa.table({"lang": lang, "source": source}).group_by(["lang", "source"], use_threads=False).aggregate([([], "count_all")])
-        size = groups.num_rows
-        yield pa.RecordBatch.from_arrays(
-            [
-                groups["lang"].combine_chunks(),
-                groups["source"].combine_chunks(),
-                pa.nulls(size, pa.string()),
-                pa.array([0] * size, pa.int64()),
-                groups["count_all"].combine_chunks().cast(pa.int64()),
-            ],
-            names=["lang", "source", "term", "occurrences", "docs"],
-        )
 
 
 def term_counts(documents: DataFrame, text: str = "text", lang: str = "lang", source: str = "source") -> DataFrame:
@@ -170,8 +230,7 @@ def divergences(
     by_term = materialise(
         rates.groupBy("lang", "term")
         .agg(F.collect_list(F.struct("source", "p")).alias("present"))
-        .join(language_rates, ["lang", "term"])
-        .withColumn("found", F.map_from_entries("present")),
+        .join(language_rates, ["lang", "term"]),
         "audit-terms",
     )
 
@@ -190,24 +249,10 @@ def divergences(
         .where(F.col("rank") <= top)
     )
 
-    # Pair part: for a term, each present source against every other source of the language.
+    # Pair part: every term against all ordered pairs of the language's sources, absent ones at their p0.
     sources = small_groups.groupBy("lang").agg(F.collect_list(F.struct("source", "p0")).alias("sources"))
-    visits = by_term.join(_small(sources, MAX_BROADCAST_GROUPS), "lang").select(
-        "lang",
-        F.explode(
-            F.expr(
-                """flatten(transform(present, x -> flatten(transform(filter(sources, g -> g.source <> x.source), g ->
-                    case when element_at(found, g.source) is null
-                    then array(struct(x.source as a, g.source as b, x.p as pa, g.p0 as pb),
-                               struct(g.source as a, x.source as b, g.p0 as pa, x.p as pb))
-                    else array(struct(x.source as a, g.source as b, x.p as pa, element_at(found, g.source) as pb))
-                    end))))"""
-            )
-        ).alias("v"),
-    )
-    sums = visits.groupBy("lang", F.col("v.a").alias("source"), F.col("v.b").alias("item")).agg(
-        F.sum(_difference("v.pa", "v.pb")).alias("visited"), F.count("*").alias("n_visited")
-    )
+    visited = by_term.join(_small(sources, MAX_BROADCAST_GROUPS), "lang").select("lang", "present", "sources")
+    sums = visited.mapInArrow(_pair_sums, PAIR_SUMS).groupBy("lang", "source", "item").agg(F.sum("visited").alias("visited"))
     a = group_rates.alias("a")
     b = group_rates.select("lang", F.col("source").alias("item"), F.col("p0").alias("other_p0"))
     pairs = (
@@ -219,12 +264,7 @@ def divergences(
             "source",
             F.lit("pair").alias("part"),
             "item",
-            F.when(F.col("V") == 0, F.lit(0))
-            .otherwise(
-                F.coalesce("visited", F.lit(0))
-                + (F.col("V") - F.coalesce("n_visited", F.lit(0))) * _difference("p0", "other_p0")
-            )
-            .cast("long")
+            F.when(F.col("V") == 0, F.lit(0)).otherwise(F.coalesce("visited", F.lit(0))).cast("long")
             .alias("value"),
         )
         .withColumn("rank", F.row_number().over(ranked))
