@@ -7,6 +7,14 @@ Layout below the index folder, one generation per compaction::
 
 The newest version of a key wins, so the order in which changes arrive does
 not matter. A repeated micro-batch replaces its own log folder.
+
+State is kept apart from vectors: every entry says in ``vector_at`` where its
+vector lies (-1 for the generation's snapshot, else the micro-batch that wrote
+it). A micro-batch reads only the state columns of the keys it touches, so no
+vector is read, not even of the rows it changes; a new version of an
+unchanged text writes no vector, only the place of the one it keeps. Vectors
+are looked up by (id, vector_at) when the index is read, and written beside
+their state again by :meth:`compact`.
 """
 
 from __future__ import annotations
@@ -20,6 +28,9 @@ from pagequarry.operators.models import Embedder, embed
 from pagequarry.sources.tables import DONE, list_numbers, path_exists
 
 SHARDS = 64
+# ``vector_at`` of a vector held by the generation's snapshot.
+IN_SNAPSHOT = -1
+STATE = ["id", "content_hash", "version", "deleted", "vector_at", "shard"]
 
 
 class IndexSync:
@@ -37,6 +48,7 @@ class IndexSync:
                 T.StructField("content_hash", T.StringType()),
                 T.StructField("version", T.LongType()),
                 T.StructField("deleted", T.BooleanType()),
+                T.StructField("vector_at", T.LongType()),
                 T.StructField("shard", T.LongType()),
             ]
         )
@@ -76,6 +88,7 @@ class IndexSync:
             content_hash(F.col(text)).alias("content_hash"),
             F.lit(version).cast("bigint").alias("version"),
             F.lit(False).alias("deleted"),
+            F.lit(IN_SNAPSHOT).cast("bigint").alias("vector_at"),
         )
         self._write_snapshot(rows, self._next_generation())
 
@@ -87,11 +100,14 @@ class IndexSync:
         log = self.spark.read.schema(schema).parquet(path)
         return log if but_batch is None else log.filter(F.col("batch_id") != but_batch)
 
-    def entries(self, shards: list[int] | None = None, but_batch: int | None = None) -> DataFrame:
-        """Newest entry of every key, deleted ones included."""
+    def entries(self, shards: list[int] | None = None, but_batch: int | None = None, columns: list[str] | None = None) -> DataFrame:
+        """Newest entry of every key, deleted ones included; ``columns`` limits what is read."""
         generation = self.generation()
         snapshot = self.spark.read.schema(self.schema).parquet(self._snapshot_path(generation))
         log = self._log(generation, but_batch)
+        if columns is not None:
+            snapshot = snapshot.select(*columns)
+            log = None if log is None else log.select(*columns, "batch_id")
         if shards is not None:
             snapshot = snapshot.filter(F.col("shard").isin(shards))
             log = None if log is None else log.filter(F.col("shard").isin(shards))
@@ -100,9 +116,28 @@ class IndexSync:
         newest = newest_per_key(log, "id", "version", "batch_id").drop("batch_id")
         return snapshot.join(newest.select("id"), "id", "left_anti").unionByName(newest)
 
+    def _vectors(self) -> DataFrame:
+        """``id, vector_at, vector`` of every row that holds a vector."""
+        generation = self.generation()
+        held = (
+            self.spark.read.schema(self.schema)
+            .parquet(self._snapshot_path(generation))
+            .where(F.col("vector").isNotNull())
+            .select("id", F.lit(IN_SNAPSHOT).cast("bigint").alias("vector_at"), "vector")
+        )
+        log = self._log(generation)
+        if log is not None:
+            held = held.unionByName(log.where(F.col("vector").isNotNull()).select("id", F.col("batch_id").alias("vector_at"), "vector"))
+        return held
+
+    def resolved(self) -> DataFrame:
+        """Newest entry of every key with its vector looked up where it lies."""
+        state = self.entries(columns=STATE)
+        return state.join(self._vectors(), ["id", "vector_at"], "left").select(*self.schema.names)
+
     def read(self) -> DataFrame:
         """The index as searches see it."""
-        return self.entries().filter(~F.col("deleted")).select("id", "vector", "content_hash", "version")
+        return self.resolved().filter(~F.col("deleted")).select("id", "vector", "content_hash", "version")
 
     # ---- changes ----
 
@@ -119,28 +154,38 @@ class IndexSync:
         try:
             # At most ``self.shards`` numbers; they prune the folders to read.
             touched = [row.shard for row in newest.select("shard").distinct().collect()]
-            # The semi join lets a small batch travel to the index instead of shuffling it.
-            current = self.entries(touched, but_batch=batch_id).join(newest.select("id"), "id", "left_semi")
+            # Only state is read; the semi join lets a small batch travel to the index instead of shuffling it.
+            current = self.current_state(touched, batch_id).join(newest.select("id"), "id", "left_semi")
             known = current.select(
                 "id",
-                F.col("vector").alias("old_vector"),
+                F.col("vector_at").alias("old_at"),
                 F.col("content_hash").alias("old_hash"),
                 F.col("version").alias("old_version"),
             )
             ahead = newest.join(known, "id", "left").filter(
                 F.col("old_version").isNull() | (F.col("version") > F.col("old_version"))
             )
-            same = F.coalesce(F.col("new_hash") == F.col("old_hash"), F.lit(False)) & F.col("old_vector").isNotNull()
-            # Null texts are not sent to the model.
+            same = F.coalesce(F.col("new_hash") == F.col("old_hash"), F.lit(False)) & F.col("old_at").isNotNull()
+            # Null texts are not sent to the model; an unchanged text keeps the place of its vector.
             to_embed = F.when(~F.col("deleted") & ~same, F.coalesce("text", F.lit("")))
-            vector = F.coalesce(embed(to_embed, self.embedder), F.when(~F.col("deleted"), F.col("old_vector")))
+            at = F.when(F.col("deleted"), F.lit(None)).when(same, F.col("old_at")).otherwise(F.lit(batch_id))
             rows = ahead.select(
-                "id", vector.alias("vector"), F.col("new_hash").alias("content_hash"), "version", "deleted", "shard"
+                "id",
+                embed(to_embed, self.embedder).alias("vector"),
+                F.col("new_hash").alias("content_hash"),
+                "version",
+                "deleted",
+                at.cast("bigint").alias("vector_at"),
+                "shard",
             )
             rows.write.mode("overwrite").parquet(f"{self._log_path(self.generation())}/batch_id={batch_id}")
         finally:
             newest.unpersist()
 
+    def current_state(self, shards: list[int], but_batch: int | None = None) -> DataFrame:
+        """State of the keys in ``shards``, read without any vector."""
+        return self.entries(shards, but_batch=but_batch, columns=STATE)
+
     def start(self, changes: DataFrame, checkpoint: str, available_now: bool = True, interval: str = "10 seconds"):
         """Run :meth:`apply_batch` over a streaming DataFrame."""
         writer = changes.writeStream.foreachBatch(self.apply_batch).option("checkpointLocation", checkpoint)
@@ -153,5 +198,8 @@ class IndexSync:
         Deleted keys stay as markers, so a late older version cannot revive them.
         """
         generation = self._next_generation()
-        self._write_snapshot(self.entries(), generation)
+        resolved = self.resolved().withColumn(
+            "vector_at", F.when(F.col("vector").isNotNull(), F.lit(IN_SNAPSHOT)).cast("bigint")
+        )
+        self._write_snapshot(resolved, generation)
         return generation

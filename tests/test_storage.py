@@ -250,3 +250,18 @@ def test_hashed_words_match_their_definition(spark):
     norm = sum(x * x for x in expected) ** 0.5
     assert [round(x, 6) for x in found[0]] == [round(x / norm, 6) for x in expected]
     assert found[1] == [0.0] * 8 and found[2] is None
+
+
+def test_a_micro_batch_reads_state_without_vectors(spark, tmp_path):
+    sync = IndexSync(spark, str(tmp_path / "index"), hashed_words(8), T.LongType(), shards=3)
+    sync.build(spark.createDataFrame([(k, f"text {k}") for k in range(20)], "id bigint, t string"), "id", "t")
+    sync.apply_batch(spark.createDataFrame([(1, "text 1", 2, False), (2, "new", 2, False)], CHANGES), 0)
+    plan = sync.current_state([0, 1, 2], 1)._jdf.queryExecution().executedPlan().toString()
+    assert "ReadSchema" in plan and "vector:" not in plan and "vector," not in plan
+    # The unchanged text wrote no vector of its own; it is found where it lies.
+    log = spark.read.parquet(str(tmp_path / "index" / "gen=1" / "log" / "batch_id=0"))
+    assert {(r.id, r.vector is None, r.vector_at) for r in log.collect()} == {(1, True, -1), (2, False, 0)}
+    before = {r.id: (r.vector, r.version) for r in sync.read().collect()}
+    assert before[1][1] == 2 and before[1][0] is not None and len(before) == 20
+    sync.compact()
+    assert {r.id: (r.vector, r.version) for r in sync.read().collect()} == before
