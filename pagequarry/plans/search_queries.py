@@ -24,6 +24,7 @@ from pagequarry.operators.postings import InvertedIndex
 from pagequarry.plans import sql
 from pagequarry.plans.registry import query, table, texts
 from pagequarry.session import materialise, new_folder
+from pagequarry.streaming.change_feed import ChangeFeed
 from pagequarry.streaming.index_sync import IndexSync
 
 
@@ -169,6 +170,29 @@ def synced_index(spark, folder):
     return current.select("id", "version", "content_hash", vector_sum(F.col("vector")).alias("total"))
 
 
+@query(f"""
+    WITH old AS (SELECT doc_id, md5(coalesce(text, '')) AS old_hash FROM documents WHERE lang <> 'es'),
+    state AS (
+        SELECT doc_id, CASE source WHEN 'src3' THEN text || ' revised' ELSE text END AS text FROM documents WHERE lang <> 'de'),
+    {sql.vector_sums('t', 'state', 'doc_id', 'text')}
+    SELECT doc_id AS id, CASE WHEN old_hash = md5(coalesce(state.text, '')) THEN 0 ELSE 1 END::BIGINT AS version,
+           md5(coalesce(state.text, '')) AS content_hash, coalesce(total, 0) AS total
+    FROM state LEFT JOIN old USING (doc_id) LEFT JOIN t ON id = doc_id""")
+def fed_index(spark, folder):
+    """An index built from one snapshot, brought to the next by a published feed read as a stream."""
+    documents = table(spark, folder, "documents")
+    revised = F.when(F.col("source") == "src3", F.concat("text", F.lit(" revised"))).otherwise(F.col("text"))
+    old = documents.filter(F.col("lang") != "es")
+    new = documents.filter(F.col("lang") != "de").withColumn("text", revised)
+    sync = IndexSync(spark, new_folder(spark, "fed-index"), hashed_words(64), T.LongType(), shards=8)
+    sync.build(old, "doc_id", "text")
+    feed = ChangeFeed(spark, new_folder(spark, "feed"))
+    feed.publish(old, new, "doc_id", "text")
+    sync.start(feed.stream("bigint", max_files=4), new_folder(spark, "feed-stream")).awaitTermination()
+    current = sync.read()
+    return current.select("id", "version", "content_hash", vector_sum(F.col("vector")).alias("total"))
+
+
 @query("""
     SELECT vec_id AS id, CASE WHEN label = 3 THEN 100 ELSE label END::INTEGER AS label,
            round(CASE WHEN label = 3 THEN list_sum(list_transform(embedding, lambda x: -x::DOUBLE))

@@ -19,17 +19,21 @@ their state again by :meth:`compact`.
 
 from __future__ import annotations
 
+import hashlib
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from pagequarry.operators.index import content_hash, newest_per_key
 from pagequarry.operators.models import Embedder, embed
-from pagequarry.sources.tables import DONE, list_numbers, path_exists
+from pagequarry.sources.tables import DONE, _file_system, list_numbers, path_exists
 
 SHARDS = 64
 # ``vector_at`` of a vector held by the generation's snapshot.
 IN_SNAPSHOT = -1
+# Micro-batches of one stream numbered below 2^STREAM_BITS; the stream's number is above.
+STREAM_BITS = 40
 STATE = ["id", "content_hash", "version", "deleted", "vector_at", "shard"]
 
 
@@ -186,9 +190,31 @@ class IndexSync:
         """State of the keys in ``shards``, read without any vector."""
         return self.entries(shards, but_batch=but_batch, columns=STATE)
 
+    def stream_number(self, checkpoint: str) -> int:
+        """A number of the stream that keeps ``checkpoint``, the same on every restart, another for each checkpoint."""
+        files, jvm = _file_system(self.spark, self.folder)
+        name = hashlib.md5(checkpoint.rstrip("/").encode()).hexdigest()
+        streams = f"{self.folder}/streams"
+        for number in list_numbers(self.spark, streams, "n="):
+            if files.exists(jvm.org.apache.hadoop.fs.Path(f"{streams}/n={number}/{name}")):
+                return number
+        number = max(list_numbers(self.spark, streams, "n="), default=0) + 1
+        files.mkdirs(jvm.org.apache.hadoop.fs.Path(f"{streams}/n={number}/{name}"))
+        return number
+
     def start(self, changes: DataFrame, checkpoint: str, available_now: bool = True, interval: str = "10 seconds"):
-        """Run :meth:`apply_batch` over a streaming DataFrame."""
-        writer = changes.writeStream.foreachBatch(self.apply_batch).option("checkpointLocation", checkpoint)
+        """Run :meth:`apply_batch` over a streaming DataFrame.
+
+        Log folders are numbered by stream and micro-batch: a retried batch
+        replaces its own folder, and a stream on another checkpoint (a replay
+        from the start, say) never touches the folders of an earlier one.
+        """
+        stream = self.stream_number(checkpoint)
+
+        def apply(changes: DataFrame, batch_id: int) -> None:
+            self.apply_batch(changes, (stream << STREAM_BITS) | batch_id)
+
+        writer = changes.writeStream.foreachBatch(apply).option("checkpointLocation", checkpoint)
         trigger = {"availableNow": True} if available_now else {"processingTime": interval}
         return writer.trigger(**trigger).start()
 
