@@ -20,7 +20,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from pagequarry.functions.vectors import score_matrix
-from pagequarry.session import materialise
+from pagequarry.session import materialise, new_folder
 
 # Scores are ranked at so many significant digits, so that noise in the last bits decides no tie.
 SCORE_DIGITS = 9
@@ -264,21 +264,54 @@ def nearest(
     """Exact best ``k`` of ``index (id, vector)`` for each of ``questions (qid, vector)``.
 
     ``where`` filters the index before ranking. Returns ``qid, rank, id, score``.
+    The questions are evaluated once and written; a set beyond ``max_questions``
+    goes to :func:`nearest_in_turn` in blocks of at most ``question_block``
+    rows. ``index_block`` is no longer used here: the index is never divided.
     """
     if where is not None:
         index = index.filter(where)
     index = index.select("id", "vector")
-    questions = questions.select("qid", "vector")
-    schema = _local_schema(questions, index)
+    # Written once, so that vectors made by a model are made once.
+    questions = materialise(questions.select("qid", "vector"), "questions")
     if fits_broadcast(questions, max_questions):
+        schema = _local_schema(questions, index)
         local = index.mapInArrow(_scan_index(questions.toArrow(), scoring, k), schema)
         return rank(local, k)
+    return nearest_in_turn(questions, index, k, scoring, question_block)
+
 
-    a = max(1, math.ceil(questions.count() / question_block))
-    b = max(1, math.ceil(index.count() / index_block))
-    left = questions.withColumn("qb", F.pmod(F.xxhash64("qid"), F.lit(a))).withColumn("ib", F.explode(_numbers(F.lit(b))))
-    right = index.withColumn("ib", F.pmod(F.xxhash64("id"), F.lit(b))).withColumn("qb", F.explode(_numbers(F.lit(a))))
-    return rank(_score_cells(left, right, ["qb", "ib"], scoring, k, schema), k)
+def nearest_in_turn(
+    questions: DataFrame,
+    index: DataFrame,
+    k: int,
+    scoring: Scoring = Dense(),
+    block_rows: int = QUESTION_BLOCK,
+    block_values: int = MAX_BROADCAST_VALUES,
+) -> DataFrame:
+    """Exact best ``k`` for a question set of any size, without moving the index.
+
+    Questions are dealt by a hash of ``qid`` into as many blocks as keep each
+    within about ``block_rows`` rows and ``block_values`` vector values (eight
+    bytes each), and written once, by block. The blocks are then taken in
+    turn: each is broadcast to a scan of the index, whose tasks stream their
+    part of the index past it and keep the best ``k`` per question. The index
+    is read once per block and never shuffled, nor is any question copied;
+    the blocks' results are ranked together.
+    """
+    spark = questions.sparkSession
+    questions = questions.select("qid", "vector")
+    schema = _local_schema(questions, index)
+    size = questions.agg(F.count("*").alias("n"), F.sum(F.size("vector")).alias("values")).first()
+    blocks = max(1, math.ceil(size.n / block_rows), math.ceil((size["values"] or 0) / block_values))
+    folder = new_folder(spark, "question-blocks")
+    questions.withColumn("block", F.pmod(F.xxhash64("qid"), F.lit(blocks))).write.partitionBy("block").parquet(folder)
+    stored = spark.read.schema(questions.schema.add("block", T.IntegerType())).parquet(folder)
+    found = None
+    for block in range(blocks):
+        held = stored.where(F.col("block") == block).select("qid", "vector").toArrow()
+        local = index.mapInArrow(_scan_index(held, scoring, k), schema)
+        found = local if found is None else found.unionByName(local)
+    return rank(found, k)
 
 
 def _numbers(n: Column) -> Column:
