@@ -8,7 +8,7 @@ from pyspark.sql import types as T
 
 from pagequarry.functions.text import STOP_WORDS, explode_rows
 from pagequarry.functions.vectors import vector_sum
-from pagequarry.operators import ranking, terms
+from pagequarry.operators import ranking, signs, terms
 from pagequarry.operators.answers import apply_threshold, attach_columns, embed_questions
 from pagequarry.operators.index import (
     capture_changes,
@@ -394,6 +394,13 @@ def filtered_approximate_search(spark, folder):
     return ranking.without_self(hits, 2)
 
 
+@query()
+def hashed_candidate_search(spark, folder):
+    """Nearest vectors among sign-projection candidates, scored exactly; no SQL, recall is tested against the exact search."""
+    index = vector_index(spark, folder).select("id", "vector")
+    return ranking.without_self(signs.hashed_nearest(self_questions(index), index, 4), 3)
+
+
 @query(_l2_hits(3))
 def approximate_search_of_all_cells(spark, folder):
     """Probing every cell is exact."""
