@@ -57,3 +57,59 @@ def numbered_within(df: DataFrame, group: str, *order, name: str = "pos") -> Dat
     return written.join(F.broadcast(starts) if small else starts, ["_part", group]).select(
         *df.columns, (F.col("_start") + F.col("_row") - F.col("_first")).alias(name)
     )
+
+
+class NumberedTable:
+    """An append-only table whose rows are numbered 1, 2, ... across all appends, with no cap.
+
+    Append ``v`` is written under ``append=<v>``; when it is complete, a marker
+    ``_marks/append=<v>/last=<n>`` keeps the highest id given so far, the
+    high-water mark. The next append starts above it. An append that broke off
+    before its marker is taken up again under the same number and from the
+    same mark, so a rerun gives its rows the same ids (for input in the same
+    ``order``, which must make rows unique). Ids are dense numbers from
+    :func:`dense_ids`: a long holds 2^63 of them, whatever the page ids or
+    chunk counts are. One writer at a time is assumed.
+    """
+
+    def __init__(self, spark, folder: str):
+        self.spark = spark
+        self.folder = folder.rstrip("/")
+
+    def _marks(self) -> dict[int, int]:
+        from pagequarry.sources.tables import _file_system, list_numbers
+
+        files, jvm = _file_system(self.spark, self.folder)
+        marks = {}
+        for version in list_numbers(self.spark, f"{self.folder}/_marks", "append="):
+            found = list_numbers(self.spark, f"{self.folder}/_marks/append={version}", "last=")
+            if found:
+                marks[version] = found[-1]
+        return marks
+
+    def version(self) -> int:
+        """The last complete append, 0 before the first."""
+        return max(self._marks(), default=0)
+
+    def last_id(self) -> int:
+        marks = self._marks()
+        return marks[max(marks)] if marks else 0
+
+    def append(self, df: DataFrame, *order: str, name: str = "id") -> int:
+        """Write ``df`` numbered after every earlier row; returns the append's number."""
+        from pagequarry.sources.tables import _file_system
+
+        version, start = self.version() + 1, self.last_id()
+        numbered = dense_ids(df, *order, name=name).withColumn(name, F.col(name) + F.lit(start))
+        numbered.write.mode("overwrite").parquet(f"{self.folder}/append={version}")
+        written = self.spark.read.parquet(f"{self.folder}/append={version}")
+        last = written.agg(F.max(name)).first()[0] or start
+        files, jvm = _file_system(self.spark, self.folder)
+        files.mkdirs(jvm.org.apache.hadoop.fs.Path(f"{self.folder}/_marks/append={version}/last={last}"))
+        return version
+
+    def read(self) -> DataFrame:
+        """Rows of complete appends, with the column ``append``."""
+        complete = sorted(self._marks())
+        table = self.spark.read.parquet(self.folder)
+        return table.where(F.col("append").isin(complete))

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from pagequarry.functions.vectors import vector_sum
 from pagequarry.operators.chunking import chunk_id, explode_chunks, paragraphs
 from pagequarry.operators.index import IndexStore
-from pagequarry.operators.keys import dense_ids
+from pagequarry.operators.keys import NumberedTable, dense_ids
 from pagequarry.operators.memos import HEADERS, raw_memos
 from pagequarry.operators.models import hashed_words
 from pagequarry.plans import sql
@@ -113,6 +113,20 @@ def chunk_ids(spark, folder):
     return chunks.select(chunk_id(F.col("doc_id"), F.col("chunk_no")).alias("id"), "doc_id", "chunk_no")
 
 
+@query("""
+    SELECT row_number() OVER (ORDER BY lang IS DISTINCT FROM 'en', doc_id, chunk_no) AS id, doc_id, chunk_no
+    FROM (SELECT doc_id, lang, unnest(range(len(list_filter(string_split(text, chr(10)), lambda p: trim(p) <> '')))) AS chunk_no
+          FROM documents)""")
+def numbered_chunk_ids(spark, folder):
+    """Chunk ids of two appends, English pages first, the second going on from the first's last id."""
+    chunks = explode_chunks(texts(spark, folder, "documents"), paragraphs(F.col("text")), "doc_id", "lang")
+    numbered = NumberedTable(spark, new_folder(spark, "numbered-chunks"))
+    english = F.col("lang") == "en"
+    numbered.append(chunks.where(english).select("doc_id", "chunk_no"), "doc_id", "chunk_no")
+    numbered.append(chunks.where(~english | F.col("lang").isNull()).select("doc_id", "chunk_no"), "doc_id", "chunk_no")
+    return numbered.read().select("id", "doc_id", "chunk_no")
+
+
 @query("SELECT row_number() OVER (ORDER BY lang, doc_id) AS id, lang, doc_id FROM documents")
 def dense_row_ids(spark, folder):
     return dense_ids(table(spark, folder, "documents").select("lang", "doc_id"), "lang", "doc_id", partitions=32)

@@ -265,3 +265,25 @@ def test_a_micro_batch_reads_state_without_vectors(spark, tmp_path):
     assert before[1][1] == 2 and before[1][0] is not None and len(before) == 20
     sync.compact()
     assert {r.id: (r.vector, r.version) for r in sync.read().collect()} == before
+
+
+def test_numbered_appends_go_on_and_reruns_keep_ids(spark, tmp_path):
+    from pagequarry.operators.keys import NumberedTable
+
+    table = NumberedTable(spark, str(tmp_path / "numbered"))
+    huge = 1 << 50  # page ids far above 2^47
+    first = spark.range(70_000).selectExpr(f"{huge} AS page_id", "id AS chunk_no")  # more chunks than one page had room for
+    assert table.append(first, "page_id", "chunk_no") == 1 and table.last_id() == 70_000
+    second = spark.createDataFrame([(huge + 1, 0), (5, 3)], "page_id bigint, chunk_no bigint")
+    assert table.append(second, "page_id", "chunk_no") == 2
+    ids = {(r.page_id, r.chunk_no): r.id for r in table.read().collect()}
+    assert len(ids) == 70_002 and sorted(ids.values()) == list(range(1, 70_003))
+    assert ids[(5, 3)] == 70_001 and ids[(huge + 1, 0)] == 70_002 and ids[(huge, 69_999)] == 70_000
+    # An append that broke off before its mark is taken up again with the same ids.
+    third = spark.createDataFrame([(7, 0), (7, 1)], "page_id bigint, chunk_no bigint")
+    from pagequarry.operators.keys import dense_ids
+
+    dense_ids(third, "page_id", "chunk_no").write.parquet(str(tmp_path / "numbered" / "append=3"))
+    assert table.version() == 2 and table.read().count() == 70_002
+    assert table.append(third, "page_id", "chunk_no") == 3
+    assert sorted(r.id for r in table.read().where("append = 3").collect()) == [70_003, 70_004]
