@@ -164,13 +164,17 @@ def summarise_long_texts(
 
     A sentence scores the mean inverse document frequency of its words over
     the whole collection; kept sentences stay in order. Other texts pass
-    through unchanged and are not shuffled.
+    through unchanged and are not shuffled. Rows are told apart by a key of
+    their own, not by ``id``: rows sharing an id, or with a null one, each get
+    the summary of their own text.
     """
-    # Read four times below, and perhaps costly to make.
-    df = materialise(df, "texts")
-    vocabulary = Vocabulary.of(bag_of_words(df, id, text))
+    # Read four times below, and perhaps costly to make. Each row gets a key of
+    # its own, so rows that share an id, or have none, are summarised apart.
+    key = "_summarised_row"
+    df = materialise(df.withColumn(key, F.monotonically_increasing_id()), "texts")
+    vocabulary = Vocabulary.of(bag_of_words(df, key, text))
     is_long = F.coalesce(long_texts(F.col(text), limit), F.lit(False))
-    long_ones = df.filter(is_long).select(F.col(id).alias("id"), F.col(text).alias("text"))
+    long_ones = df.filter(is_long).select(F.col(key).alias("id"), F.col(text).alias("text"))
     chosen = explode_rows(long_ones, sentences(F.col("text")), "position", "sentence").drop("text")
     marked = explode_rows(chosen, words(F.col("sentence")), "_", "term").select("id", "position", "term")
     found = vocabulary.attach(marked, spread_by="id", how="inner")
@@ -183,9 +187,9 @@ def summarise_long_texts(
         chosen.join(best, ["id", "position"])
         .groupBy("id")
         .agg(F.array_sort(F.collect_list(F.struct("position", "sentence"))).alias("kept"))
-        .select(F.col("id").alias(id), F.array_join("kept.sentence", " ").alias("_summary"))
+        .select(F.col("id").alias(key), F.array_join("kept.sentence", " ").alias("_summary"))
     )
     short = df.filter(~is_long).withColumn(output, F.col(text))
     # A long text without words has nothing to rank and stays as it is.
-    shortened = df.filter(is_long).join(summaries, id, "left").withColumn(output, F.coalesce("_summary", text))
-    return short.unionByName(shortened.drop("_summary"))
+    shortened = df.filter(is_long).join(summaries, key, "left").withColumn(output, F.coalesce("_summary", text))
+    return short.unionByName(shortened.drop("_summary")).drop(key)

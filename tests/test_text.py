@@ -145,3 +145,20 @@ def test_parser_agrees_with_expressions(spark):
     pages = ["<p>a</p><script>var t='</p>';</script>b &amp;lt; &middot;<style>x</style><!-- c -->d", None, "<b>open <i>tags"]
     assert column(spark, pages, html.parsed_text) == column(spark, pages, html.html_to_text)
     assert column(spark, ["caf&eacute; <p a='>'>x"], html.parsed_text) == ["café x"]
+
+
+def test_summaries_of_rows_that_share_an_id_or_have_none(spark):
+    from pagequarry.operators.terms import summarise_long_texts
+
+    blue = " ".join(f"Blue whales swim {k}." for k in range(40)) + " Krill feeds giants."
+    red = " ".join(f"Red apples grow {k}." for k in range(40)) + " Orchards need bees."
+    rows = [(1, blue), (1, red), (None, red), (2, "short"), (None, None)]
+    df = spark.createDataFrame(rows, "id bigint, text string")
+    out = summarise_long_texts(df, "id", "text", limit=100, keep=2).collect()
+    assert len(out) == 5
+    for row in out:
+        if row.text and len(row.text) > 100:
+            words = set(row.text_short.split())
+            assert words <= set(row.text.split()) and row.text_short != row.text
+        else:
+            assert row.text_short == row.text
