@@ -16,6 +16,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from pagequarry.llm import tokens
 from pagequarry.llm.components import components
@@ -227,6 +228,14 @@ def _across(mixed: DataFrame, sets: DataFrame) -> DataFrame:
 def near_duplicates(documents: DataFrame) -> DataFrame:
     """``doc_id, n_shingles, component_id, kept`` for every row of ``documents`` (doc_id, text).
 
+    See :func:`judged`, which also gives each row's set digest.
+    """
+    return judged(documents).select("doc_id", "n_shingles", "component_id", "kept")
+
+
+def judged(documents: DataFrame) -> DataFrame:
+    """``doc_id, n_shingles, set_a, set_b, component_id, kept`` for every row of ``documents`` (doc_id, text).
+
     Rows with equal sets are one class, of which the smallest id takes part.
     Members of a band bucket meet its smallest id; where the bucket then still
     holds several components, they meet another member, STAR_ROUNDS times in
@@ -277,14 +286,53 @@ def near_duplicates(documents: DataFrame) -> DataFrame:
         .select(
             "doc_id",
             "n_shingles",
+            "set_a",
+            "set_b",
             F.when(F.col("doc_id").isNotNull(), F.coalesce("found", "doc_id")).alias("component_id"),
             (F.col("doc_id").isNull() | (F.col("doc_id") == F.coalesce("found", "doc_id"))).alias("kept"),
         )
     )
 
 
+def _digests(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Each batch with the size and 128-bit digest of every row's shingle set."""
+    for batch in batches:
+        sizes, firsts, seconds = [], [], []
+        for part in tokens.slices(batch.column("text")):
+            values, offsets = shingle_sets(part)
+            sizes.append(tokens.as_longs(np.diff(offsets)))
+            firsts.append(tokens.as_longs(tokens.row_sums(tokens.mix(values ^ _SET_KEYS[0]), offsets)))
+            seconds.append(tokens.as_longs(tokens.row_sums(tokens.mix(values ^ _SET_KEYS[1]), offsets)))
+        columns = [pa.concat_arrays(found) if found else pa.array([], pa.int64()) for found in (sizes, firsts, seconds)]
+        yield pa.RecordBatch.from_arrays([*batch.columns, *columns], names=[*batch.schema.names, *_DIGEST])
+
+
+_DIGEST = ["_dedup_n", "_dedup_a", "_dedup_b"]
+
+
 def deduplicated(documents: DataFrame) -> DataFrame:
-    """One row of each group of near duplicates, with all its columns; rows without doc_id stay."""
-    kept = near_duplicates(documents).filter("kept AND doc_id IS NOT NULL").select(F.col("doc_id").alias("_kept"))
-    one = documents.join(kept, documents["doc_id"] == kept["_kept"], "left_semi").dropDuplicates(["doc_id"])
-    return one.unionByName(documents.filter(F.col("doc_id").isNull()))
+    """One row of each group of near duplicates, with all its columns.
+
+    The verdict goes by row: a row stays when its own text is kept by
+    :func:`judged` (its doc_id is its component's), matched by doc_id and set
+    digest together, so a unique text is never dropped because a copy shares
+    its doc_id; of rows with the same doc_id and the same set one stays.
+    Components are found over doc_ids, so two different texts under one
+    doc_id are in one component: both stay, even when they are near each
+    other. Rows without doc_id or without words are linked with nothing and
+    all stay.
+    """
+    winners = (
+        judged(documents)
+        .where("kept AND n_shingles > 0 AND doc_id IS NOT NULL")
+        .select(F.col("doc_id").alias("_dedup_id"), F.col("set_a").alias("_dedup_a"), F.col("set_b").alias("_dedup_b"))
+        .distinct()
+    )
+    schema = T.StructType([*documents.schema.fields, *(T.StructField(name, T.LongType()) for name in _DIGEST)])
+    digested = documents.mapInArrow(_digests, schema)
+    alone = digested.where(F.col("doc_id").isNull() | (F.col("_dedup_n") == 0))
+    grouped = digested.where(F.col("doc_id").isNotNull() & (F.col("_dedup_n") > 0))
+    chosen = grouped.join(
+        winners, (grouped["doc_id"] == winners["_dedup_id"]) & (grouped["_dedup_a"] == winners["_dedup_a"]) & (grouped["_dedup_b"] == winners["_dedup_b"]), "left_semi"
+    ).dropDuplicates(["doc_id", "_dedup_a", "_dedup_b"])
+    return chosen.unionByName(alone).drop(*_DIGEST)

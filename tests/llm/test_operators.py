@@ -150,6 +150,18 @@ def test_one_row_of_each_group_stays(spark):
     assert sorted((r.doc_id or -1, r.bands) for r in kept) == [(-1, "m"), (-1, "n"), (2, "y"), (7, "z"), (9, "k")]
 
 
+def test_verdicts_go_by_row_not_by_id(spark):
+    a = "the quick brown fox jumps over the lazy dog near the river bank"
+    b = "completely different words make up this other unique text body here"
+    rows = [(1, a, "first"), (5, a, "copy"), (5, b, "unique"), (8, b + " again", "near b"), (8, b + " again", "same row twice")]
+    kept = minhash.deduplicated(spark.createDataFrame(rows, "doc_id bigint, text string, tag string")).collect()
+    tags = sorted(r.tag for r in kept)
+    # A stays once under id 1, not again under id 5; B, whose group holds its near copy under id 8, stays under id 5.
+    assert tags == ["first", "unique"]
+    lone = [(5, a, "x"), (5, b, "y")]
+    assert sorted(r.tag for r in minhash.deduplicated(spark.createDataFrame(lone, "doc_id bigint, text string, tag string")).collect()) == ["x", "y"]
+
+
 def test_components_follow_chains(spark):
     edges = [(k, k + 1) for k in range(40)] + [(100, 90), (95, 90), (7, 7)]
     found = dict(components(spark.createDataFrame(edges, "a bigint, b bigint")).collect())
