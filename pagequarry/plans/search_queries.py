@@ -20,6 +20,7 @@ from pagequarry.operators.index import (
 )
 from pagequarry.operators.models import embed, hashed_words
 from pagequarry.operators.cells import CellIndex
+from pagequarry.operators.hashed_terms import hashed_tfidf
 from pagequarry.operators.postings import InvertedIndex
 from pagequarry.plans import sql
 from pagequarry.plans.registry import query, table, texts
@@ -78,6 +79,22 @@ def term_weights(spark, folder):
     )
 
 
+@query(f"""
+    WITH t AS (SELECT doc_id AS id, unnest({sql.words('text')}) AS term FROM documents),
+    h AS (SELECT id, ('0x' || substr(md5(term), 1, 8))::BIGINT % 262144 AS bucket,
+                 CASE WHEN ('0x' || substr(md5(term), 9, 1))::BIGINT % 2 = 0 THEN 1 ELSE -1 END AS sign FROM t),
+    b AS (SELECT id, bucket, sum(sign) AS tf FROM h GROUP BY 1, 2),
+    d AS (SELECT bucket, count(*) AS df FROM b GROUP BY 1),
+    n AS (SELECT count(*)::DOUBLE AS n FROM documents),
+    r AS (SELECT id, bucket, tf * ln((n + 1) / (df + 1)) AS raw FROM b JOIN d USING (bucket), n WHERE tf <> 0)
+    SELECT id, bucket, round(raw / sqrt(sum(raw * raw) OVER (PARTITION BY id)), 6) AS weight FROM r WHERE raw <> 0""")
+def hashed_term_weights(spark, folder):
+    """TF-IDF by the hashing trick: signed buckets, document frequencies of fixed size, no vocabulary joined."""
+    vectors = hashed_tfidf(texts(spark, folder, "documents"), "doc_id", "text")
+    listed = explode_rows(vectors, F.col("vector"), "_", "v")
+    return listed.select("id", F.col("v.bucket").alias("bucket"), F.round("v.weight", 6).alias("weight"))
+
+
 @query(f"""
     WITH {sql.frequencies('c', 'documents', 'doc_id', 'text')}, {sql.tfidf('t', 'documents', 'doc_id', 'text', 'c')}
     SELECT id, term, round(w, 6) AS weight FROM t""")
