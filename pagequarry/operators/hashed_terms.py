@@ -28,10 +28,13 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from pagequarry.operators.models import slices
 from pagequarry.operators.terms import bag_of_words
 from pagequarry.session import materialise
 
 BUCKETS = 1 << 18
+# Terms, or buckets, of whole rows that a task works on at a time.
+ENTRIES = 200_000
 HASHED = T.ArrayType(T.StructType([T.StructField("bucket", T.LongType()), T.StructField("tf", T.LongType())]))
 VECTOR = T.ArrayType(T.StructType([T.StructField("bucket", T.LongType()), T.StructField("weight", T.DoubleType())]))
 
@@ -46,9 +49,17 @@ def bucket_column(term: Column, buckets: int = BUCKETS) -> Column:
     return F.pmod(F.conv(F.substring(F.md5(term), 1, 8), 16, 10).cast("bigint"), F.lit(buckets))
 
 
+def _pieces(batches: Iterator[pa.RecordBatch], column: str) -> Iterator[pa.RecordBatch]:
+    """The batches cut into runs of rows with at most ``ENTRIES`` entries of ``column``."""
+    for batch in batches:
+        sizes = pc.list_value_length(batch.column(column)).fill_null(0).to_numpy(zero_copy_only=False)
+        for start, stop in slices(sizes, ENTRIES):
+            yield batch.slice(start, stop - start)
+
+
 def _fold(buckets: int):
     def fold(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in _pieces(batches, "terms"):
             bags = batch.column("terms")
             sizes = pc.list_value_length(bags).fill_null(0).to_numpy(zero_copy_only=False)
             flat = pc.list_flatten(bags)
@@ -74,7 +85,7 @@ def _fold(buckets: int):
 
 def _weigh(idf: np.ndarray):
     def weigh(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in _pieces(batches, "hashed"):
             hashed = batch.column("hashed")
             sizes = pc.list_value_length(hashed).fill_null(0).to_numpy(zero_copy_only=False)
             flat = pc.list_flatten(hashed)

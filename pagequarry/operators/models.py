@@ -19,6 +19,9 @@ from pagequarry.functions.text import long_texts
 TextModel = Callable[[], Callable[[list[str]], list[str]]]
 Embedder = Callable[[], Callable[[pa.Array], np.ndarray]]
 
+# Bytes of text that an embedder receives at a time, a single longer text apart.
+EMBEDDED_BYTES = 2_000_000
+
 
 def call_model(prompt: Column, model: TextModel) -> Column:
     """Replies to ``prompt``; a null prompt is not sent and stays null."""
@@ -81,6 +84,17 @@ def summarise_with(text: Column, model: TextModel, limit: int = 10_000) -> Colum
     return F.coalesce(call_model(F.when(long_texts(text, limit), text), model), text)
 
 
+def slices(sizes: np.ndarray, most: int) -> Iterator[tuple[int, int]]:
+    """Runs of consecutive rows whose ``sizes`` sum to at most ``most``; a larger row is a run of its own."""
+    ends = np.cumsum(sizes, dtype=np.int64)
+    start = 0
+    while start < len(ends):
+        before = int(ends[start - 1]) if start else 0
+        stop = max(start + 1, int(np.searchsorted(ends, before + most, side="right")))
+        yield start, stop
+        start = stop
+
+
 def embed(text: Column, embedder: Embedder) -> Column:
     """``array<float>`` vectors of ``text``; a null text is not sent and stays null."""
 
@@ -93,16 +107,21 @@ def embed(text: Column, embedder: Embedder) -> Column:
                 yield pa.nulls(len(batch), pa.list_(pa.float32()))
                 continue
             run = run or embedder()
-            matrix = np.asarray(run(batch.drop_null()), dtype=np.float32)
-            if len(matrix) != given.sum():
-                raise ValueError(f"{len(matrix)} vectors for {given.sum()} texts")
+            sent = batch.drop_null()
+            parts = []
+            for start, stop in slices(pc.binary_length(sent).to_numpy(zero_copy_only=False), EMBEDDED_BYTES):
+                part = np.asarray(run(sent.slice(start, stop - start)), dtype=np.float32)
+                if len(part) != stop - start:
+                    raise ValueError(f"{len(part)} vectors for {stop - start} texts")
+                parts.append(part)
+            matrix = np.concatenate(parts)
             offsets = np.concatenate([[0], np.cumsum(given)]).astype(np.int32) * matrix.shape[1]
             yield pa.ListArray.from_arrays(pa.array(offsets), pa.array(matrix.reshape(-1)), mask=pa.array(~given))
 
     return vectors(text)
 
 
-def hashed_words(dimension: int = 64, cache_size: int = 1_000_000) -> Embedder:
+def hashed_words(dimension: int = 64, cache_size: int = 100_000) -> Embedder:
     """Deterministic stand-in for an embedding model: signed hashed word counts, unit length.
 
     The first 32 bits of a word's MD5 give its position (modulo ``dimension``)
