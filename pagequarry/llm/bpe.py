@@ -3,9 +3,9 @@
 A text is split by the pre-tokenising pattern and every piece is encoded on
 its own, as a rank file's BPE does it. A piece that is a whole token is that
 token. Otherwise its UTF-8 bytes are read as Latin-1 characters, one per byte,
-so that an Aho-Corasick automaton (pyahocorasick) over all tokens finds, at
-every byte position, every token starting there; these are prefixes of each
-other, longest first. The encoder takes the longest token at the current
+so that a trie of all tokens (pyahocorasick) tells, at a byte position the
+encoder comes to, how long a token starting there can be; the tokens are the
+prefixes of that length or less that the rank file has. The encoder takes the longest token at the current
 position if it may follow the token before it, else the next shorter one;
 when none is left at a position, it takes back the token before and tries
 that position's next shorter one. Two tokens may follow each other when BPE
@@ -25,20 +25,27 @@ from __future__ import annotations
 import base64
 import os
 from collections.abc import Iterator
-from functools import lru_cache
+from functools import cached_property, lru_cache
 
 import ahocorasick
-import pandas as pd
+import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
 import regex
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.functions import pandas_udf
-from pyspark.sql.types import ArrayType, BinaryType, IntegerType
+
+from pagequarry.operators.models import slices
 
 # The largest rank file taken to the executors.
 MAX_RANK_FILE_BYTES = 64 << 20
-# Encodings of pieces remembered per worker; the memo starts afresh when full.
-MEMO_PIECES = 1 << 19
+# Pairs remembered per worker; the memo starts afresh when full.
+MEMO_PAIRS = 1 << 19
+# Tokens of remembered encodings; pieces of more than MEMO_TOKENS / 64 tokens are not remembered.
+# When full, what was not asked for since the last time is forgotten.
+MEMO_TOKENS = 1 << 20
+# Bytes of text encoded, or ids decoded, before they become Arrow arrays.
+CODED_BYTES = 2_000_000
 
 
 def default_ranks_file() -> str:
@@ -77,13 +84,21 @@ class Encoder:
             except UnicodeDecodeError:
                 pass
         self.pattern = regex.compile(pattern)
-        self.automaton = ahocorasick.Automaton()
-        for token, rank in self.rank.items():
-            self.automaton.add_word(token.decode("latin-1"), (rank, len(token)))
-        self.automaton.make_automaton()
+        self.by_text = {token.decode("latin-1"): rank for token, rank in self.rank.items()}
+        self.longest = max(map(len, self.rank))
         self._reachable: dict[int, bool] = {}
-        self._compatible: dict[tuple[int, int], bool] = {}
-        self._pieces: dict[str, list[int]] = {}
+        self._compatible: dict[int, bool] = {}
+        self._pieces: dict[str, tuple[int, ...]] = {}
+        self._older: dict[str, tuple[int, ...]] = {}
+        self._held = 0
+
+    @cached_property
+    def automaton(self) -> ahocorasick.Automaton:
+        """All tokens; made for the first piece that needs it, so a worker that only decodes has none."""
+        found = ahocorasick.Automaton(ahocorasick.STORE_LENGTH)
+        for token in self.rank:
+            found.add_word(token.decode("latin-1"))
+        return found
 
     def merge(self, piece: bytes) -> list[int]:
         """Plain BPE of a short byte string: the lowest-ranked neighbouring pair merges first, leftmost on ties."""
@@ -107,10 +122,10 @@ class Encoder:
         return known
 
     def compatible(self, left: int, right: int) -> bool:
-        key = (left, right)
+        key = left << 32 | right
         known = self._compatible.get(key)
         if known is None:
-            if len(self._compatible) >= MEMO_PIECES:
+            if len(self._compatible) >= MEMO_PAIRS:
                 self._compatible.clear()
             known = self._compatible[key] = self.merge(self.tokens[left] + self.tokens[right]) == [left, right]
         return known
@@ -119,31 +134,31 @@ class Encoder:
         """Tokens of one piece that is no whole token."""
         text = piece.encode("utf-8").decode("latin-1")
         size = len(text)
-        # Tokens starting at each position. Matches come by their end, so each
-        # position's list grows from shortest to longest and is read backwards.
-        starting: list[list[tuple[int, int]]] = [[] for _ in range(size)]
-        for end, (rank, length) in self.automaton.iter(text):
-            starting[end - length + 1].append((rank, length))
+        ranks, known, compatible = self.by_text, self._reachable, self.compatible
+        prefix, longest = self.automaton.longest_prefix, self.longest
         dead = bytearray(size + 1)
         chosen: list[int] = []
         starts: list[int] = []
-        choice: list[int] = []
+        lengths: list[int] = []
         at = 0
-        option = len(starting[0]) - 1 if size else -1
+        length = prefix(text[:longest])
         while at < size:
-            options = starting[at]
-            while option >= 0:
-                token, length = options[option]
-                end = at + length
-                if not dead[end] and self.reachable(token) and (not chosen or self.compatible(chosen[-1], token)):
+            while length > 0:
+                token = ranks.get(text[at : at + length])
+                if (
+                    token is not None
+                    and not dead[at + length]
+                    and (known.get(token) or self.reachable(token))
+                    and (not chosen or compatible(chosen[-1], token))
+                ):
                     break
-                option -= 1
-            if option >= 0:
+                length -= 1
+            if length > 0:
                 chosen.append(token)
                 starts.append(at)
-                choice.append(option)
-                at = end
-                option = len(starting[at]) - 1 if at < size else -1
+                lengths.append(length)
+                at += length
+                length = prefix(text[at : at + longest])
                 continue
             # Nothing fits here after what was chosen before: that choice was wrong.
             dead[at] = 1
@@ -151,24 +166,27 @@ class Encoder:
                 raise ValueError("no encoding found; the rank file is not byte-level BPE")
             chosen.pop()
             at = starts.pop()
-            option = choice.pop() - 1
+            length = lengths.pop() - 1
         return chosen
 
     def encode(self, text: str | None) -> list[int]:
         ids: list[int] = []
         if not text:
             return ids
-        whole, known = self.whole, self._pieces
+        whole = self.whole
         for piece in self.pattern.findall(text):
             rank = whole.get(piece)
             if rank is not None:
                 ids.append(rank)
                 continue
-            found = known.get(piece)
+            found = self._pieces.get(piece)
             if found is None:
-                if len(known) >= MEMO_PIECES:
-                    known.clear()
-                found = known[piece] = self.encode_piece(piece)
+                found = self._older.get(piece) or tuple(self.encode_piece(piece))
+                if len(found) <= MEMO_TOKENS // 64:
+                    if self._held + len(found) > MEMO_TOKENS:
+                        self._older, self._pieces, self._held = self._pieces, {}, 0
+                    self._pieces[piece] = found
+                    self._held += len(found)
             ids.extend(found)
         return ids
 
@@ -177,6 +195,21 @@ class Encoder:
         return b"".join(tokens[token] for token in ids)
 
 
+    @cached_property
+    def _token_bytes(self) -> pa.Array:
+        return pa.array(self.tokens, pa.binary())
+
+    def decode_lists(self, lists: pa.Array, sizes: np.ndarray) -> pa.Array:
+        """:meth:`decode` of every list; the bytes of all tokens lie side by side already."""
+        taken = self._token_bytes.take(lists.flatten())
+        lengths = pc.binary_length(taken).to_numpy(zero_copy_only=False)
+        ends = np.concatenate([[0], np.cumsum(lengths, dtype=np.int64)])
+        offsets = ends[np.concatenate([[0], np.cumsum(sizes, dtype=np.int64)])].astype(np.int32)
+        if not len(taken):
+            return pa.array([b""] * len(lists), pa.binary())
+        return pa.BinaryArray.from_buffers(pa.binary(), len(lists), [None, pa.py_buffer(offsets), taken.buffers()[2]])
+
+
 @lru_cache(maxsize=4)
 def _encoder(ranks: bytes, pattern: str) -> Encoder:
     return Encoder(ranks, pattern)
@@ -201,11 +234,17 @@ def encoded(text: Column, spark, ranks_file: str | None = None, pattern: str | N
     """Token ids of ``text`` (null: empty), as ``array<int>``."""
     shared = _shared(spark, ranks_file, pattern)
 
-    @pandas_udf(ArrayType(IntegerType()))
-    def encode(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
+    @F.arrow_udf("array<int>")
+    def encode(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
         encoder = _encoder(*shared.value)
         for texts in batches:
-            yield pd.Series([encoder.encode(None if value is None or value is pd.NA else value) for value in texts])
+            sizes = pc.fill_null(pc.binary_length(texts), 0).to_numpy(zero_copy_only=False)
+            parts = [pa.array([], pa.list_(pa.int32()))]
+            for start, stop in slices(sizes, CODED_BYTES):
+                # One text's ids at a time are Python numbers.
+                found = [np.array(encoder.encode(texts[at].as_py()), np.int32) for at in range(start, stop)]
+                parts.append(pa.array(found, pa.list_(pa.int32())))
+            yield pa.concat_arrays(parts)
 
     return encode(text)
 
@@ -214,11 +253,15 @@ def decoded(ids: Column, spark, ranks_file: str | None = None, pattern: str | No
     """The bytes of ``ids`` (null: empty), as ``binary``."""
     shared = _shared(spark, ranks_file, pattern)
 
-    @pandas_udf(BinaryType())
-    def decode(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
+    @F.arrow_udf("binary")
+    def decode(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
         encoder = _encoder(*shared.value)
         for lists in batches:
-            yield pd.Series([encoder.decode(() if value is None else value) for value in lists])
+            sizes = pc.fill_null(pc.list_value_length(lists), 0).to_numpy(zero_copy_only=False)
+            parts = [pa.array([], pa.binary())]
+            for start, stop in slices(sizes, CODED_BYTES // 4):
+                parts.append(encoder.decode_lists(lists.slice(start, stop - start), sizes[start:stop]))
+            yield pa.concat_arrays(parts)
 
     return decode(ids)
 
