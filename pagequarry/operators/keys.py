@@ -2,10 +2,16 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from collections.abc import Callable, Iterator, Sequence
+
+import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
-from pagequarry.session import materialise
+from pagequarry.session import materialise, new_folder
 
 
 def dense_ids(df: DataFrame, *order: str, name: str = "id", partitions: int | None = None) -> DataFrame:
@@ -59,6 +65,60 @@ def numbered_within(df: DataFrame, group: str, *order, name: str = "pos") -> Dat
     )
 
 
+def _places(group: str, name: str) -> Callable:
+    """Task function: rows sorted by ``group`` with their place within its run."""
+
+    def places(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        last, met = None, 0
+        for batch in batches:
+            size = batch.num_rows
+            if not size:
+                continue
+            column = batch.column(group)
+            new = np.ones(size, dtype=bool)
+            new[1:] = pc.not_equal(column[1:], column[:-1]).to_numpy(zero_copy_only=False)
+            start = np.maximum.accumulate(np.where(new, np.arange(size), 0))
+            place = np.arange(size) - start
+            if column[0].as_py() == last:
+                # The run of the batch before goes on.
+                place[start == 0] += met
+            last, met = column[size - 1].as_py(), int(place[-1]) + 1
+            yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(place)], [*batch.schema.names, name])
+
+    return places
+
+
+def numbered_runs(
+    df: DataFrame, group: str, order: Sequence[Column], name: str = "pos", first: Sequence[Column] = ()
+) -> DataFrame:
+    """``df`` with ``name``: 0, 1, ... within each value of ``group`` (none null) in ``order``.
+
+    As :func:`numbered_within`, for many groups: rows are range-partitioned on
+    (first, group, order), ``first`` being functions of the group; numbered
+    within their partition as they are sorted, and written once. Only a group
+    that is cut, whose later parts begin a partition, needs a start: a table
+    of at most as many rows as partitions. The rows are not shuffled again; a
+    file holds a range of groups.
+    """
+    keys = [*first, F.col(group), *order]
+    ordered = df.repartitionByRange(*keys).sortWithinPartitions(*keys)
+    runs = ordered.mapInArrow(_places(group, name), T.StructType([*df.schema, T.StructField(name, T.LongType())]))
+    at = F.monotonically_increasing_id().bitwiseAND(F.lit((1 << 33) - 1))
+    placed = runs.select("*", F.spark_partition_id().alias("_part"), (at == 0).alias("_first"))
+    folder = new_folder(df.sparkSession, "numbered")
+    placed.write.option("compression", "zstd").parquet(folder)
+    written = df.sparkSession.read.schema(placed.schema).parquet(folder)
+    # The first rows of the partitions; groups that do not begin one are whole.
+    heads = materialise(written.where("_first").select(group).distinct(), "cut-groups")
+    sizes = written.join(F.broadcast(heads), group).groupBy("_part", group).agg(F.count("*").alias("_size"))
+    before = Window.partitionBy(group).orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)
+    starts = sizes.select("_part", group, F.sum("_size").over(before).alias("_start")).where(F.col("_start") > 0)
+    starts = F.broadcast(materialise(starts, "starts"))
+    return written.join(starts, ["_part", group], "left").select(
+        *df.columns, (F.col(name) + F.coalesce("_start", F.lit(0))).alias(name)
+    )
+
+
 class NumberedTable:
     """An append-only table whose rows are numbered 1, 2, ... across all appends, with no cap.
 
