@@ -6,7 +6,7 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from pagequarry.operators import postings
+from pagequarry.operators import postings, terms
 from pagequarry.operators.keys import numbered_runs
 from pagequarry.operators.postings import InvertedIndex, bucket_of
 from pagequarry.operators.terms import KeywordIndex
@@ -79,3 +79,26 @@ def test_texts_that_share_an_id_are_ranked_apart(spark, tmp_path):
     questions = spark.createDataFrame([(0, "fox")], "q bigint, t string")
     index = InvertedIndex.build(docs, "d", "t", path=str(tmp_path / "index"), buckets=4, block=1)
     assert [r.id for r in index.search(questions, "q", "t", 3).orderBy("rank").collect()] == [2, 1, 4]
+
+
+@pytest.mark.parametrize("most", [0, 10, 500_000])
+def test_summaries_join_rare_words_only(spark, monkeypatch, most):
+    texts = ["red fox. red red dog! the blue dog? a b c. " * 2 + f"own{'x' * i} red." for i in range(12)] + ["1. 2. 3! 4? " * 9, "short.", "", None]
+    rows = [(None if i == 3 else i // 2, text) for i, text in enumerate(texts)]
+    df = spark.createDataFrame(rows, "id int, text string")
+    expected = sorted(map(tuple, terms.summarise_long_texts(df, "id", "text", limit=20, keep=2).collect()), key=repr)
+    joined, attach = [], terms.Vocabulary.attach
+
+    def seen(self, rows, spread_by, how):
+        joined.extend(r.term for r in rows.collect())
+        return attach(self, rows, spread_by, how)
+
+    monkeypatch.setattr(terms.Vocabulary, "attach", seen)
+    monkeypatch.setattr(terms, "MAX_BROADCAST_TERMS", most)
+    monkeypatch.setattr(terms, "MAX_BROADCAST_POSITIONS", 0 if most else 4_000_000)
+    monkeypatch.setattr(terms, "WORDS_AT_ONCE", 5)
+    assert sorted(map(tuple, terms.summarise_long_texts(df, "id", "text", limit=20, keep=2).collect()), key=repr) == expected
+    if most == 10:
+        assert joined and "red" not in joined
+    if most > 10:
+        assert not joined
